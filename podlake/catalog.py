@@ -8,6 +8,7 @@ feature (top-k reports).
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from .operators import documents as doc
 from .operators import kpis, quality, review, routing, search
 from .plans import questions as vq
-from .session import apply_runtime_conf
+from .session import apply_runtime_conf, spread
 from .sources import fixtures as fx
+from .sources import io
 from .sources.tables import tables
 
 # Fixed parameters of the named questions (values present in the sf0.01 data).
@@ -158,7 +160,7 @@ def q_carrier_resolution(spark, sf):
 
 
 def _parsed_pages(t, mode):
-    p = doc.flatten_parsed(doc.parse_documents(t.pages.select("page_id", "url", "html"), "html",
+    p = doc.flatten_parsed(doc.parse_documents(spread(t.pages.select("page_id", "url", "html")), "html",
                                                mode), mode)
     return p.select("page_id", "url", "raw_text", "page_count", "extraction_mode", "error_info")
 
@@ -203,6 +205,12 @@ def _corpus(t) -> DataFrame:
     return search.build_corpus(fx.pod_fact(t), fx.dim_customers(t), fx.dim_carriers(t))
 
 
+def _corpus_table(spark, t) -> DataFrame:
+    """POD_SEARCH_CORPUS as the reference builds it: CREATE OR REPLACE TABLE AS
+    SELECT, here a Parquet table in the shared folder that later steps read."""
+    return io.materialize(_corpus(t), spark, "pod-search-corpus")
+
+
 def q_search_corpus(spark, sf):
     return _corpus(_t(spark, sf))
 
@@ -217,30 +225,34 @@ def q_postings(spark, sf):
 
 
 def _doc_index(t):
-    return search.build_index(t.documents.select("doc_id", "text"), "doc_id", "text")
+    return search.build_index(spread(t.documents.select("doc_id", "text")), "doc_id", "text")
 
 
 def q_bm25_topk(spark, sf):
     t = _t(spark, sf)
     q = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
-    hits = search.search(_doc_index(t), q, k=DOC_SEARCH_K)
+    idx = search.materialize_index(spread(t.documents.select("doc_id", "text")), "doc_id", "text",
+                                   "doc-index")
+    hits = search.search(idx, q, k=DOC_SEARCH_K)
     return hits.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
 
 
 def q_bm25_filtered(spark, sf):
+    """SE7: several attribute-filtered searches in one plan: the allowed
+    (query_id, pod_id) pairs are one union of filters over the search source."""
     t = _t(spark, sf)
-    corpus = _corpus(t)
+    corpus = _corpus_table(spark, t)
     src = search.search_source(corpus)
-    idx = search.build_index(corpus, "pod_id", "search_text")
-    stats = idx.stats()
-    out = []
-    for qid, text, attr, val in FILTERED_QUERIES:
-        q = spark.createDataFrame([(qid, text)], "query_id int, text string")
-        allowed = src.where(F.col(attr) == val).select("pod_id")
-        out.append(search.search(idx, q, k=SEARCH_K, allowed=allowed, stats=stats))
-    from functools import reduce
-    res = reduce(DataFrame.unionByName, out)
-    return res.select("query_id", "rank", F.col("id").alias("pod_id"), "score")
+    idx = search.materialize_index(corpus, "pod_id", "search_text", "pod-index")
+    q = spark.createDataFrame([(i, txt) for i, txt, _, _ in FILTERED_QUERIES],
+                              "query_id int, text string")
+    # One pass over the source: each row lists the queries whose filter it passes.
+    passes = F.filter(F.array(*[F.when(F.col(attr) == val, F.lit(i))
+                                for i, _, attr, val in FILTERED_QUERIES]),
+                      lambda x: x.isNotNull())
+    allowed = src.select(F.col("pod_id").alias("id"), F.explode(passes).alias("query_id"))
+    hits = search.search(idx, q, k=SEARCH_K, allowed=allowed)
+    return hits.select("query_id", "rank", F.col("id").alias("pod_id"), "score")
 
 
 def _label_centroids(t) -> DataFrame:
@@ -313,6 +325,51 @@ def q_route_questions(spark, sf):
                                                      "search_score", "route")
 
 
+# --- streaming ---------------------------------------------------------------------
+
+def q_stream_pods(spark, sf):
+    """ST1-ST4: delivered lines stream in, task 1 prints POD documents into
+    POD_EXTRACTED (file sink), task 2 reads that folder as its change feed and
+    extracts typed POD_FACT rows. Read back, it equals the batch extraction."""
+    from .streaming import pipeline as P
+    t = _t(spark, sf)
+    wd = P.workdir(spark, "stream-pods")
+    _, fact_path = P.run_pipeline(P.pod_documents_stream(spark, t, sf), wd)
+    cols = [c for c in _typed(t).columns if c != "pod_text_content"]
+    return spark.read.parquet(fact_path).select(*cols)
+
+
+def q_stream_files_window(spark, sf):
+    """ST8: events per 5-minute window with a 10-minute watermark (append mode:
+    a window is written once, when the watermark has passed its end)."""
+    from .streaming import pipeline as P
+    wd = P.workdir(spark, "stream-window")
+    P.run(P.windowed_counts(P.table_stream(spark, sf, "events")), f"{wd}/out", f"{wd}/_chk")
+    return spark.read.parquet(f"{wd}/out")
+
+
+def q_stream_dedup(spark, sf):
+    """ST7: duplicates of (user_id, event_type) dropped within the watermark."""
+    from .streaming import pipeline as P
+    wd = P.workdir(spark, "stream-dedup")
+    ev = P.table_stream(spark, sf, "events")
+    d = (ev.withColumn("__ets", F.col("ts").cast("timestamp")).withWatermark("__ets", "1 hour")
+         .dropDuplicatesWithinWatermark(["user_id", "event_type"]).select("user_id", "event_type"))
+    P.run(d, f"{wd}/out", f"{wd}/_chk")
+    return spark.read.parquet(f"{wd}/out")
+
+
+def q_stream_corpus(spark, sf):
+    """ST5/SE8/ST6: the search corpus kept live from the POD stream, appended
+    per micro-batch into batch partitions (idempotent under retries)."""
+    from .streaming import pipeline as P
+    t = _t(spark, sf)
+    wd = P.workdir(spark, "stream-corpus")
+    pods = fx.pod_fact(t, lineitem=P.table_stream(spark, sf, "lineitem"))
+    P.refresh_corpus_stream(pods, fx.dim_customers(t), fx.dim_carriers(t), wd)
+    return spark.read.parquet(f"{wd}/corpus").drop("batch_id")
+
+
 # --- registry ----------------------------------------------------------------------
 
 def _vq(fn, *args):
@@ -369,4 +426,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "review_queue": q_review_queue,
     "review_prefill": q_review_prefill,
     "route_questions": q_route_questions,
+    "stream_pods": q_stream_pods,
+    "stream_files_window": q_stream_files_window,
+    "stream_dedup": q_stream_dedup,
+    "stream_corpus": q_stream_corpus,
 }

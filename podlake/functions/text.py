@@ -77,6 +77,10 @@ TOKEN_SPLIT = r"[^A-Za-z0-9]+"
 
 
 def tokens(text: Column) -> Column:
-    """ASCII word tokens, lower-cased; empty strings removed."""
-    parts = F.split(F.coalesce(text, F.lit("")), TOKEN_SPLIT)
-    return F.filter(F.transform(parts, lambda s: F.lower(s)), lambda s: s != "")
+    """ASCII word tokens, lower-cased; empty strings removed.
+
+    Separators become single spaces first, so the string is pure ASCII before
+    ``lower`` (no locale effects) and no higher-order function is needed: all
+    four steps are native, code-generated expressions."""
+    ascii_words = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), TOKEN_SPLIT, " "))
+    return F.array_remove(F.split(ascii_words, " "), "")

@@ -95,6 +95,7 @@ class TextIndex:
     terms: DataFrame         # term, df
     docs: DataFrame          # id, dl
     id_col: str = "id"
+    buckets: int | None = None
 
     def stats(self) -> tuple[int, float]:
         """Corpus size and mean length: one small global aggregate (2 scalars)."""
@@ -112,17 +113,46 @@ def build_index(docs: DataFrame, id_col: str, text_col: str) -> TextIndex:
     return TextIndex(postings, terms, lengths, id_col)
 
 
-def write_index(index: TextIndex, path: str, buckets: int = 64) -> None:
-    """Persist postings partitioned by term bucket; queries prune by bucket."""
-    (index.postings.withColumn("bucket", F.pmod(F.hash("term"), F.lit(buckets)))
+def write_index(docs: DataFrame, id_col: str, text_col: str, path: str,
+                buckets: int = 64) -> None:
+    """SE3 persisted: tokenize once, then postings partitioned by term bucket
+    (one file per bucket, sorted by term so Parquet min/max statistics skip row
+    groups), document frequencies and document lengths -- each derived from the
+    written token table, never by re-reading the source text.
+
+    Choose ``buckets`` so one bucket is about a gigabyte of postings; a query
+    joins on (bucket, term) and dynamic partition pruning reads only the
+    buckets of its terms.
+    """
+    tok_path = f"{path}/_tokens"
+    (docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
+     .withColumn("dl", F.size("toks")).write.mode("overwrite").parquet(tok_path))
+    spark = docs.sparkSession
+    tok = spark.read.parquet(tok_path)
+    tok.select("id", "dl").write.mode("overwrite").parquet(f"{path}/docs")
+    postings = (tok.select("id", "dl", F.explode("toks").alias("term"))
+                .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+                .withColumn("bucket", F.pmod(F.hash("term"), F.lit(buckets))))
+    (postings.repartition("bucket").sortWithinPartitions("term")
      .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
-    index.terms.write.mode("overwrite").parquet(f"{path}/terms")
-    index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+    (spark.read.parquet(f"{path}/postings").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+     .write.mode("overwrite").parquet(f"{path}/terms"))
 
 
-def load_index(spark: SparkSession, path: str) -> TextIndex:
+def materialize_index(docs: DataFrame, id_col: str, text_col: str, name: str = "index",
+                      buckets: int = 64) -> TextIndex:
+    """Write the index to a fresh folder of the shared folder and open it: cuts
+    the lineage (a lost executor re-reads files instead of re-tokenizing the
+    corpus) and lets queries prune postings by term bucket."""
+    from ..session import scratch_path
+    path = scratch_path(docs.sparkSession, name)
+    write_index(docs, id_col, text_col, path, buckets)
+    return load_index(docs.sparkSession, path, buckets)
+
+
+def load_index(spark: SparkSession, path: str, buckets: int = 64) -> TextIndex:
     return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"),
-                     spark.read.parquet(f"{path}/docs"))
+                     spark.read.parquet(f"{path}/docs"), buckets=buckets)
 
 
 def query_terms(queries: DataFrame, qid: str = "query_id", text: str = "text") -> DataFrame:
@@ -135,16 +165,22 @@ def bm25_scores(index: TextIndex, queries: DataFrame, qid: str = "query_id",
                 text: str = "text", k1: float = K1, b: float = B,
                 stats: tuple[int, float] | None = None) -> DataFrame:
     """(query_id, id, score) for every document sharing a term with the query."""
-    n, avgdl = stats or index.stats()
+    if stats is not None:
+        n_col, avgdl_col = F.lit(float(stats[0])), F.lit(stats[1] or 1.0)
+    else:
+        # Scalar subqueries: evaluated once inside the same plan, no driver round trip.
+        n_col = index.docs.select(F.count(F.lit(1)).cast("double")).scalar()
+        avgdl_col = index.docs.select(F.avg("dl")).scalar()
     qt = query_terms(queries, qid, text)
     if "bucket" in index.postings.columns:
-        qt = qt.withColumn("bucket", F.pmod(F.hash("term"), F.lit(64)))
+        nb = index.buckets or 64
+        qt = qt.withColumn("bucket", F.pmod(F.hash("term"), F.lit(nb)))
         keys = ["bucket", "term"]
     else:
         keys = ["term"]
-    idf = F.log(F.lit(1.0) + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(F.lit(1.0) + (n_col - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = qt.join(index.terms, "term").withColumn("idf", idf).drop("df")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl else 1.0))
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl_col)
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
     return (weighted.join(index.postings, keys)
             .groupBy("query_id", "id").agg(F.sum(part).alias("score")))
@@ -161,11 +197,14 @@ def top_k(scored: DataFrame, k: int, score: str = "score", group: str = "query_i
 def search(index: TextIndex, queries: DataFrame, k: int = 5, qid: str = "query_id",
            text: str = "text", allowed: DataFrame | None = None,
            stats: tuple[int, float] | None = None) -> DataFrame:
-    """SE4 (+SE7): BM25 top-k per query; ``allowed`` (ids passing attribute
-    filters) is applied to the scored candidates before ranking."""
+    """SE4 (+SE7): BM25 top-k per query. ``allowed`` holds the ids that pass
+    the attribute filters -- (id) for all queries or (query_id, id) per query --
+    and is semi-joined to the scored candidates before ranking, so corpus
+    statistics (N, df, avgdl) stay those of the whole index."""
     scored = bm25_scores(index, queries, qid, text, stats=stats)
     if allowed is not None:
-        scored = scored.join(allowed.select(F.col(allowed.columns[0]).alias("id")), "id", "left_semi")
+        keys = ["query_id", "id"] if "query_id" in allowed.columns else ["id"]
+        scored = scored.join(allowed.select(*keys), keys, "left_semi")
     return top_k(scored, k)
 
 

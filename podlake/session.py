@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings applied to every session we build. Values are conservative
 # for a large cluster: 64 MB advisory partitions, skew split at 5x the median.
@@ -43,6 +43,9 @@ def get_spark(master: str | None = None, app: str = "podlake",
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        for k, v in LOCAL_CONF.items():
+            builder = builder.config(k, v)
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -50,9 +53,34 @@ def get_spark(master: str | None = None, app: str = "podlake",
     return spark
 
 
+# Local runs only: small test tables are one Parquet row group each, so without
+# this AQE would coalesce a CPU-heavy stage (regex, tokenizing) into one task.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+}
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work enough tasks.
+
+    A scan of a few large files (or one Parquet row group) yields fewer splits
+    than the cluster has cores; then, and only then, rows are spread round-robin.
+    A 100 TB input already has thousands of splits and is left untouched, so
+    no shuffle is added at scale.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the SQL runtime settings to a session someone else built."""
-    for k, v in CLUSTER_CONF.items():
+    conf = dict(CLUSTER_CONF)
+    if spark.sparkContext.master.startswith("local"):
+        conf.update(LOCAL_CONF)
+    for k, v in conf.items():
         if k.startswith("spark.sql."):
             try:
                 spark.conf.set(k, v)

@@ -91,13 +91,14 @@ def _line_key() -> Column:
 
 
 def line_keyed(t: Tables, need_order: bool = False, need_geo: bool = False,
-               where: Column | None = None) -> DataFrame:
+               where: Column | None = None, lineitem: DataFrame | None = None) -> DataFrame:
     """lineitem (+ o_custkey, o_date) (+ dest_city, dest_state) with the long key ``k``.
 
     ``where`` is applied to lineitem before any join so the filter reaches the
-    Parquet scan and shrinks both shuffles.
+    Parquet scan and shrinks both shuffles. ``lineitem`` may be a streaming
+    DataFrame: the joins are then stream-static left joins.
     """
-    li = t.lineitem
+    li = t.lineitem if lineitem is None else lineitem
     if where is not None:
         li = li.where(where)
     li = li.withColumn("k", _line_key())
@@ -117,14 +118,15 @@ ORDER_COLS = {"o_custkey", "o_date"}
 GEO_COLS = {"dest_city", "dest_state"}
 
 
-def _build(t: Tables, exprs: dict[str, tuple[Column, set[str]]], columns, where) -> DataFrame:
+def _build(t: Tables, exprs: dict[str, tuple[Column, set[str]]], columns, where,
+           lineitem: DataFrame | None = None) -> DataFrame:
     names = list(exprs) if columns is None else list(columns)
     unknown = [c for c in names if c not in exprs]
     if unknown:
         raise KeyError(f"unknown columns {unknown}")
     deps = set().union(*(exprs[c][1] for c in names)) if names else set()
     base = line_keyed(t, need_order=bool(deps & ORDER_COLS), need_geo=bool(deps & GEO_COLS),
-                      where=where)
+                      where=where, lineitem=lineitem)
     return base.select(*[exprs[c][0].alias(c) for c in names])
 
 
@@ -208,9 +210,9 @@ POD_COLUMNS = ["pod_id", "shipment_id", "order_id", "customer_id", "carrier_id",
                "partial_delivery", "packages_received", "packages_expected", "pod_file_name"]
 
 
-def pod_fact(t: Tables, columns=None) -> DataFrame:
+def pod_fact(t: Tables, columns=None, lineitem: DataFrame | None = None) -> DataFrame:
     """POD_FACT rows: delivered lines only (the filter is pushed to the scan)."""
-    return _build(t, pod_exprs(), columns, F.col("l_linestatus") == "F")
+    return _build(t, pod_exprs(), columns, F.col("l_linestatus") == "F", lineitem)
 
 
 def claim_exprs() -> dict[str, tuple[Column, set[str]]]:
