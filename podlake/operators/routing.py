@@ -22,15 +22,17 @@ SEARCH_WORDS = ["find", "show", "document", "documents", "pod", "proof", "damage
                 "search"]
 
 
-def keyword_pattern(word: str) -> str:
-    """Case-insensitive whole-word pattern with ASCII boundaries (same in Java
-    regex and RE2; no \\b, whose meaning differs between the two)."""
+def keyword_pattern(word: str, jvm: bool = False) -> str:
+    """Case-insensitive whole-word pattern with ASCII boundaries (no \\b, whose
+    meaning differs between Java regex and RE2). ``jvm`` spells the boundary
+    class as [^\\p{Alnum}] -- ASCII-only in Java and much faster there."""
     body = " +".join(word.split())
-    return rf"(?i)(^|[^A-Za-z0-9]){body}([^A-Za-z0-9]|$)"
+    sep = r"[^\p{Alnum}]" if jvm else "[^A-Za-z0-9]"
+    return rf"(?i)(^|{sep}){body}({sep}|$)"
 
 
 def _score(text: str, words: list[str]):
-    hits = [F.when(F.col(text).rlike(keyword_pattern(w)), 1).otherwise(0) for w in words]
+    hits = [F.when(F.col(text).rlike(keyword_pattern(w, jvm=True)), 1).otherwise(0) for w in words]
     return reduce(lambda a, b: a + b, hits)
 
 

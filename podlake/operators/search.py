@@ -26,12 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..session import is_small
 from .documents import pod_text
 
 K1 = 1.2
 B = 0.75
 RRF_K = 60
 SCORE_DIGITS = 6
+MAX_PRUNE_TERMS = 10_000
 
 
 # --- SE1 / SE2 --------------------------------------------------------------------
@@ -103,12 +105,40 @@ class TextIndex:
         return int(r["n"]), float(r["avgdl"] or 0.0)
 
 
+def _tf_batches(batches):
+    """Per Arrow batch: (id, toks) -> (term, id, dl, tf). A document's tokens
+    are all in its own row, so counting inside the batch is exact and needs no
+    shuffle; the count is Arrow's vectorized hash group-by."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    for b in batches:
+        toks = b.column(1)
+        g = (pa.table({"row": pc.list_parent_indices(toks), "term": pc.list_flatten(toks)})
+             .group_by(["row", "term"]).aggregate([([], "count_all")]))
+        rows = g.column("row")
+        out = pa.table({"term": g.column("term"), "id": pc.take(b.column(0), rows),
+                        "dl": pc.take(pc.list_value_length(toks), rows).cast(pa.int32()),
+                        "tf": g.column("count_all")})
+        yield from out.to_batches()
+
+
+def term_frequencies(tok: DataFrame) -> DataFrame:
+    """(id, toks) -> postings (term, id, dl, tf), computed where the rows are."""
+    id_type = dict(tok.dtypes)["id"]
+    return tok.select("id", "toks").mapInArrow(
+        _tf_batches, f"term string, id {id_type}, dl int, tf bigint")
+
+
 def build_index(docs: DataFrame, id_col: str, text_col: str) -> TextIndex:
-    """SE3: postings (term, id, tf, dl), document frequencies, doc lengths."""
+    """SE3: postings (term, id, dl, tf), document frequencies, doc lengths.
+
+    Postings need no shuffle (see ``term_frequencies``); document frequencies
+    are one ``groupBy(term)`` with map-side partial counts, so a term present in
+    every document is pre-counted per task, never gathered raw in one reducer.
+    """
     tok = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
     lengths = tok.select("id", F.size("toks").alias("dl"))
-    postings = (tok.select("id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
-                .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf")))
+    postings = term_frequencies(tok)
     terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return TextIndex(postings, terms, lengths, id_col)
 
@@ -130,8 +160,7 @@ def write_index(docs: DataFrame, id_col: str, text_col: str, path: str,
     spark = docs.sparkSession
     tok = spark.read.parquet(tok_path)
     tok.select("id", "dl").write.mode("overwrite").parquet(f"{path}/docs")
-    postings = (tok.select("id", "dl", F.explode("toks").alias("term"))
-                .groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    postings = (term_frequencies(tok)
                 .withColumn("bucket", F.pmod(F.hash("term"), F.lit(buckets))))
     (postings.repartition("bucket").sortWithinPartitions("term")
      .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
@@ -171,18 +200,33 @@ def bm25_scores(index: TextIndex, queries: DataFrame, qid: str = "query_id",
         # Scalar subqueries: evaluated once inside the same plan, no driver round trip.
         n_col = index.docs.select(F.count(F.lit(1)).cast("double")).scalar()
         avgdl_col = index.docs.select(F.avg("dl")).scalar()
+    # The query side is bounded by the query batch, not by the corpus: broadcast
+    # it after a size check, so the postings stream through a hash join (and,
+    # on a bucketed index, only the buckets of the query terms are read).
     qt = query_terms(queries, qid, text)
-    if "bucket" in index.postings.columns:
+    small = is_small(qt)
+    postings = index.postings
+    if small:
+        # A proven-small term set (at most MAX_PRUNE_TERMS distinct terms) is
+        # also pushed into the postings scan: partition pruning on the term
+        # bucket and an IN filter that skips row groups by term min/max.
+        few = qt.select("term").distinct().limit(MAX_PRUNE_TERMS + 1).collect()
+        if len(few) <= MAX_PRUNE_TERMS:
+            postings = postings.where(F.col("term").isin([r[0] for r in few]))
+    if "bucket" in postings.columns:
         nb = index.buckets or 64
         qt = qt.withColumn("bucket", F.pmod(F.hash("term"), F.lit(nb)))
         keys = ["bucket", "term"]
     else:
         keys = ["term"]
     idf = F.log(F.lit(1.0) + (n_col - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = qt.join(index.terms, "term").withColumn("idf", idf).drop("df")
+    weighted = (F.broadcast(qt) if small else qt).join(index.terms, "term") \
+        .withColumn("idf", idf).drop("df")
+    if small:
+        weighted = F.broadcast(weighted)
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl_col)
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
-    return (weighted.join(index.postings, keys)
+    return (weighted.join(postings, keys)
             .groupBy("query_id", "id").agg(F.sum(part).alias("score")))
 
 

@@ -14,6 +14,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings applied to every session we build. Values are conservative
 # for a large cluster: 64 MB advisory partitions, skew split at 5x the median.
@@ -75,6 +76,21 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Prove a join side small before broadcasting it: count at most
+    ``max_rows + 1`` of its rows (one cheap job over that side only)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only under the proven bound; beyond it the DataFrame is
+    returned unhinted and Spark uses a shuffle join (with AQE skew splitting)."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Apply the SQL runtime settings to a session someone else built."""
     conf = dict(CLUSTER_CONF)
