@@ -11,7 +11,7 @@ from datetime import datetime
 from functools import reduce
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import documents as doc
@@ -256,12 +256,7 @@ def q_bm25_filtered(spark, sf):
 
 
 def _label_centroids(t) -> DataFrame:
-    e = t.embeddings
-    dim = e.select(F.max(F.size("embedding"))).first()[0] or 0
-    g = e.groupBy("label").agg(*[F.avg(F.col("embedding").getItem(i).cast("double")).alias(f"c{i}")
-                                 for i in range(dim)])
-    return g.select(F.col("label").alias("query_id"),
-                    F.array(*[F.col(f"c{i}") for i in range(dim)]).alias("qvec"))
+    return search.centroids(t.embeddings, "label", "embedding")
 
 
 def q_vector_topk(spark, sf):
@@ -279,6 +274,61 @@ def q_index_health(spark, sf):
                                fx.pod_fact(t, ["pod_id"]), "pod_id")
 
 
+HYBRID_DEPTH = 20   # each ranking contributes its top 20 to the fusion
+PRF_SEEDS = 3       # top BM25 hits whose vectors seed the semantic query
+
+
+def q_hybrid_topk(spark, sf):
+    """SE6: lexical + semantic ranking fused by reciprocal rank. The semantic
+    query of a text question is the mean vector of its top BM25 hits that have
+    an embedding (pseudo-relevance feedback); cosine ranks the vector corpus."""
+    t = _t(spark, sf)
+    q = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
+    idx = search.materialize_index(spread(t.documents.select("doc_id", "text")), "doc_id", "text",
+                                   "doc-index")
+    # Both rankings are small (queries x depth); the lexical one is written once
+    # to the shared folder because three later steps read it.
+    lexical = io.materialize(search.search(idx, q, k=HYBRID_DEPTH), spark, "hybrid-lexical")
+    seeds = (lexical.where(F.col("rank") <= PRF_SEEDS)
+             .join(t.embeddings.select(F.col("vec_id").alias("id"), "embedding"), "id"))
+    dim = t.embeddings.select(F.max(F.size("embedding"))).first()[0] or 0
+    qvec = search.centroids(seeds, "query_id", "embedding", dim)
+    semantic_hits = search.cosine_top_k(t.embeddings, "vec_id", "embedding", qvec, "query_id",
+                                        "qvec", k=HYBRID_DEPTH)
+    fused = search.rrf([lexical, semantic_hits], k=DOC_SEARCH_K)
+    return fused.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
+WORST_CARRIERS = 3
+EVIDENCE_K = 3
+EVIDENCE_TEXT = "exception damage missing signature"
+
+
+def q_kpi_with_evidence(spark, sf):
+    """RT2 ("both tools"): the carriers with the highest exception rate (metric
+    side) with, for each, the top PODs of an evidence search restricted to that
+    carrier (search side)."""
+    t = _t(spark, sf)
+    rates = kpis.exceptions_by_carrier(fx.pod_fact(t, ["carrier_id", "exception_flag"]),
+                                       fx.dim_carriers(t))
+    top = (rates.where(F.col("carrier_name").isNotNull())
+           .orderBy(F.desc("exception_pct"), F.asc("carrier_name")).limit(WORST_CARRIERS)
+           .withColumn("query_id", F.row_number().over(
+               Window.orderBy(F.desc("exception_pct"), F.asc("carrier_name")))))
+    # A handful of rows read by three later steps: written once, not recomputed.
+    worst = io.materialize(top, spark, "worst-carriers")
+    corpus = _corpus(t)
+    idx = search.materialize_index(corpus.select("pod_id", "search_text"), "pod_id",
+                                   "search_text", "pod-index")
+    queries = worst.select("query_id", F.lit(EVIDENCE_TEXT).alias("text"))
+    allowed = (corpus.select(F.col("pod_id").alias("id"), "carrier_name")
+               .join(F.broadcast(worst.select("query_id", "carrier_name")), "carrier_name"))
+    hits = search.search(idx, queries, k=EVIDENCE_K, allowed=allowed)
+    return (hits.join(worst.select("query_id", "carrier_name", "exception_pct"), "query_id")
+            .select("carrier_name", "exception_pct", "rank", F.col("id").alias("pod_id"),
+                    "score"))
+
+
 # --- review ------------------------------------------------------------------------
 
 def _review_log(t) -> DataFrame:
@@ -426,6 +476,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "review_queue": q_review_queue,
     "review_prefill": q_review_prefill,
     "route_questions": q_route_questions,
+    "hybrid_topk": q_hybrid_topk,
+    "kpi_with_evidence": q_kpi_with_evidence,
     "stream_pods": q_stream_pods,
     "stream_files_window": q_stream_files_window,
     "stream_dedup": q_stream_dedup,

@@ -282,6 +282,17 @@ def cosine_top_k(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
+def centroids(df: DataFrame, key: str, vec_col: str, dim: int | None = None) -> DataFrame:
+    """Mean vector per key: one partial + final aggregation with one ``avg`` per
+    dimension (no explode, no collect_list of whole groups)."""
+    if dim is None:
+        dim = df.select(F.max(F.size(vec_col))).first()[0] or 0
+    g = df.groupBy(key).agg(*[F.avg(F.col(vec_col).getItem(i).cast("double")).alias(f"__c{i}")
+                              for i in range(dim)])
+    return g.select(F.col(key).alias("query_id"),
+                    F.array(*[F.col(f"__c{i}") for i in range(dim)]).alias("qvec"))
+
+
 def rrf(rankings: list[DataFrame], k: int = 5, c: int = RRF_K) -> DataFrame:
     """SE6: reciprocal rank fusion of several (query_id, id, rank) rankings."""
     u = reduce(DataFrame.unionByName, [r.select("query_id", "id", "rank") for r in rankings])
