@@ -231,9 +231,8 @@ def _doc_index(t):
 def q_bm25_topk(spark, sf):
     t = _t(spark, sf)
     q = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
-    idx = search.materialize_index(spread(t.documents.select("doc_id", "text")), "doc_id", "text",
-                                   "doc-index")
-    hits = search.search(idx, q, k=DOC_SEARCH_K)
+    hits = search.search_batch(spread(t.documents.select("doc_id", "text")), "doc_id", "text", q,
+                               k=DOC_SEARCH_K)
     return hits.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
 
 
@@ -243,7 +242,6 @@ def q_bm25_filtered(spark, sf):
     t = _t(spark, sf)
     corpus = _corpus_table(spark, t)
     src = search.search_source(corpus)
-    idx = search.materialize_index(corpus, "pod_id", "search_text", "pod-index")
     q = spark.createDataFrame([(i, txt) for i, txt, _, _ in FILTERED_QUERIES],
                               "query_id int, text string")
     # One pass over the source: each row lists the queries whose filter it passes.
@@ -251,7 +249,7 @@ def q_bm25_filtered(spark, sf):
                                 for i, _, attr, val in FILTERED_QUERIES]),
                       lambda x: x.isNotNull())
     allowed = src.select(F.col("pod_id").alias("id"), F.explode(passes).alias("query_id"))
-    hits = search.search(idx, q, k=SEARCH_K, allowed=allowed)
+    hits = search.search_batch(corpus, "pod_id", "search_text", q, k=SEARCH_K, allowed=allowed)
     return hits.select("query_id", "rank", F.col("id").alias("pod_id"), "score")
 
 
@@ -284,11 +282,11 @@ def q_hybrid_topk(spark, sf):
     an embedding (pseudo-relevance feedback); cosine ranks the vector corpus."""
     t = _t(spark, sf)
     q = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
-    idx = search.materialize_index(spread(t.documents.select("doc_id", "text")), "doc_id", "text",
-                                   "doc-index")
     # Both rankings are small (queries x depth); the lexical one is written once
     # to the shared folder because three later steps read it.
-    lexical = io.materialize(search.search(idx, q, k=HYBRID_DEPTH), spark, "hybrid-lexical")
+    lexical = io.materialize(search.search_batch(spread(t.documents.select("doc_id", "text")),
+                                                 "doc_id", "text", q, k=HYBRID_DEPTH),
+                             spark, "hybrid-lexical")
     seeds = (lexical.where(F.col("rank") <= PRF_SEEDS)
              .join(t.embeddings.select(F.col("vec_id").alias("id"), "embedding"), "id"))
     dim = t.embeddings.select(F.max(F.size("embedding"))).first()[0] or 0
@@ -318,12 +316,11 @@ def q_kpi_with_evidence(spark, sf):
     # A handful of rows read by three later steps: written once, not recomputed.
     worst = io.materialize(top, spark, "worst-carriers")
     corpus = _corpus(t)
-    idx = search.materialize_index(corpus.select("pod_id", "search_text"), "pod_id",
-                                   "search_text", "pod-index")
     queries = worst.select("query_id", F.lit(EVIDENCE_TEXT).alias("text"))
     allowed = (corpus.select(F.col("pod_id").alias("id"), "carrier_name")
                .join(F.broadcast(worst.select("query_id", "carrier_name")), "carrier_name"))
-    hits = search.search(idx, queries, k=EVIDENCE_K, allowed=allowed)
+    hits = search.search_batch(corpus.select("pod_id", "search_text"), "pod_id", "search_text",
+                               queries, k=EVIDENCE_K, allowed=allowed)
     return (hits.join(worst.select("query_id", "carrier_name", "exception_pct"), "query_id")
             .select("carrier_name", "exception_pct", "rank", F.col("id").alias("pod_id"),
                     "score"))

@@ -105,16 +105,20 @@ class TextIndex:
         return int(r["n"]), float(r["avgdl"] or 0.0)
 
 
-def _tf_batches(batches):
+def _tf_batches(batches, only: list[str] | None = None):
     """Per Arrow batch: (id, toks) -> (term, id, dl, tf). A document's tokens
     are all in its own row, so counting inside the batch is exact and needs no
-    shuffle; the count is Arrow's vectorized hash group-by."""
+    shuffle; the count is Arrow's vectorized hash group-by. ``only`` keeps the
+    postings of a given (proven small) term set."""
     import pyarrow as pa
     import pyarrow.compute as pc
+    keep = pa.array(only, pa.string()) if only is not None else None
     for b in batches:
         toks = b.column(1)
-        g = (pa.table({"row": pc.list_parent_indices(toks), "term": pc.list_flatten(toks)})
-             .group_by(["row", "term"]).aggregate([([], "count_all")]))
+        t = pa.table({"row": pc.list_parent_indices(toks), "term": pc.list_flatten(toks)})
+        if keep is not None:
+            t = t.filter(pc.is_in(t.column("term"), value_set=keep))
+        g = t.group_by(["row", "term"]).aggregate([([], "count_all")])
         rows = g.column("row")
         out = pa.table({"term": g.column("term"), "id": pc.take(b.column(0), rows),
                         "dl": pc.take(pc.list_value_length(toks), rows).cast(pa.int32()),
@@ -122,11 +126,43 @@ def _tf_batches(batches):
         yield from out.to_batches()
 
 
-def term_frequencies(tok: DataFrame) -> DataFrame:
+def term_frequencies(tok: DataFrame, only: list[str] | None = None) -> DataFrame:
     """(id, toks) -> postings (term, id, dl, tf), computed where the rows are."""
     id_type = dict(tok.dtypes)["id"]
-    return tok.select("id", "toks").mapInArrow(
-        _tf_batches, f"term string, id {id_type}, dl int, tf bigint")
+    fn = _tf_batches if only is None else (lambda it: _tf_batches(it, only))
+    return tok.select("id", "toks").mapInArrow(fn, f"term string, id {id_type}, dl int, tf bigint")
+
+
+def tokenize_table(docs: DataFrame, id_col: str, text_col: str, name: str = "tokens") -> DataFrame:
+    """(id, toks, dl) written once to the shared folder: the text is read and
+    tokenized a single time however many steps use the tokens afterwards."""
+    from ..sources.io import materialize
+    tok = (docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
+           .withColumn("dl", F.size("toks")))
+    return materialize(tok, docs.sparkSession, name)
+
+
+def search_batch(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, k: int = 5,
+                 qid: str = "query_id", text: str = "text",
+                 allowed: DataFrame | None = None) -> DataFrame:
+    """SE3 + SE4 for a one-shot batch of queries, without building a full index.
+
+    The corpus is tokenized once into a written table; the (proven small)
+    set of query terms is shipped to the tasks, which count only those terms'
+    postings in place (no shuffle of postings); document frequencies come from
+    those postings, N and the mean length from the token table. BM25 scores are
+    identical to a search over the full index.
+    """
+    tok = tokenize_table(docs, id_col, text_col)
+    qt = query_terms(queries, qid, text)
+    terms = [r[0] for r in qt.select("term").distinct().limit(MAX_PRUNE_TERMS + 1).collect()]
+    if len(terms) > MAX_PRUNE_TERMS:
+        postings = term_frequencies(tok)       # large query sets: the full postings
+    else:
+        postings = term_frequencies(tok, terms)
+    index = TextIndex(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")),
+                      tok.select("id", "dl"))
+    return search(index, queries, k, qid, text, allowed)
 
 
 def build_index(docs: DataFrame, id_col: str, text_col: str) -> TextIndex:
