@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import non_empty, pct, try_date, try_int, yes_no_prefix
-from ..functions.text import extract_label, html_to_text, label_pattern, page_count
+from ..functions.text import (extract_label, html_to_text, label_pattern, label_pattern_jvm,
+                              page_count)
 
 MAX_FACT_TEXT = 16000
 CONFIDENCE = Decimal("0.85")
@@ -43,13 +44,19 @@ POD_LABELS = {
 }
 
 
-def default_spec() -> dict[str, str]:
-    """Field -> regex (group 1 = value). 'Packages: 13 received' keeps the first word."""
-    spec = {k: label_pattern(POD_LABELS[k]) for k in EXTRACTION_KEYS}
-    spec["packages_received"] = label_pattern("Packages", r"(\S*).*")
+def label_spec() -> dict[str, tuple[str, str]]:
+    """Field -> (label, value regex with group 1). 'Packages: 13 received' keeps
+    the first word."""
+    spec = {k: (POD_LABELS[k], r"(.*)") for k in EXTRACTION_KEYS}
+    spec["packages_received"] = ("Packages", r"(\S*).*")
     return spec
 
 
+def default_spec() -> dict[str, str]:
+    """Field -> portable regex (group 1 = value), the spec in its RE2/Java form."""
+    return {k: label_pattern(lab, val) for k, (lab, val) in label_spec().items()}
+
+
 # --- DOC1 / DOC2 ------------------------------------------------------------------
 
 def parse_documents(df: DataFrame, content: str, mode: str = "LAYOUT") -> DataFrame:
@@ -109,10 +116,19 @@ def parse_report(extracted: DataFrame) -> DataFrame:
 
 def extract_fields(df: DataFrame, text: str, spec: dict[str, str] | None = None,
                    prefix: str = "") -> DataFrame:
-    """DOC3: one nullable string column per field, all in one projection."""
-    spec = spec or default_spec()
-    t = F.col(text)
-    return df.select("*", *[extract_label(t, p).alias(prefix + k) for k, p in spec.items()])
+    """DOC3: one nullable string column per field, all in one projection.
+
+    ``spec`` maps field -> regex (group 1 = value). Without one, the labelled
+    POD fields are read with the newline-anchored Java form of the label
+    patterns over ``"\n" + text`` (same matches as ``default_spec``)."""
+    if spec is None:
+        t = F.concat(F.lit("\n"), F.col(text))
+        cols = [extract_label(t, label_pattern_jvm(lab, val)).alias(prefix + k)
+                for k, (lab, val) in label_spec().items()]
+    else:
+        t = F.col(text)
+        cols = [extract_label(t, p).alias(prefix + k) for k, p in spec.items()]
+    return df.select("*", *cols)
 
 
 def to_pod_fact(df: DataFrame, text: str = "raw_text", file_name: str = "file_name",
