@@ -3,8 +3,10 @@
 All aggregations are plain ``groupBy/agg``: Catalyst plans a partial
 aggregation before the shuffle, so a hot group (the NULL carrier, one status
 holding a third of the rows) is pre-reduced on every map task and never lands
-in one reducer as raw rows. Dimension joins are left equi joins without hints;
-AQE broadcasts the dimension only after measuring it.
+in one reducer as raw rows. Per-dimension KPIs aggregate the fact by its
+foreign key before the dimension join (eager aggregation), so the join sees one
+row per key instead of one per fact row. Dimension joins are left equi joins
+without hints; AQE broadcasts the dimension only after measuring it.
 """
 
 from __future__ import annotations
@@ -34,24 +36,29 @@ def pod_summary(pod: DataFrame) -> DataFrame:
 
 def exceptions_by_carrier(pod: DataFrame, carriers: DataFrame) -> DataFrame:
     """AG2 (JN1 + group): NULL carrier group kept, sorted by pct desc."""
-    j = pod.select("carrier_id", "exception_flag").join(
-        carriers.select("carrier_id", "carrier_name"), "carrier_id", "left")
-    exc = flag_count(F.col("exception_flag"))
+    # Eager aggregation: one row per carrier_id reaches the join (see
+    # plans.semantic._eager); the result equals join-then-aggregate.
+    pre = pod.groupBy("carrier_id").agg(F.count(F.lit(1)).alias("n"),
+                                        flag_count(F.col("exception_flag")).alias("e"))
+    j = pre.join(carriers.select("carrier_id", "carrier_name"), "carrier_id", "left")
+    n, e = F.sum("n"), F.sum("e")
     return (j.groupBy("carrier_name")
-            .agg(F.count(F.lit(1)).alias("total_pods"), exc.alias("exceptions"),
-                 pct(exc, F.count(F.lit(1)), 1).alias("exception_pct"))
+            .agg(n.alias("total_pods"), e.alias("exceptions"),
+                 pct(e, n, 1).alias("exception_pct"))
             .orderBy(F.desc_nulls_first("exception_pct"), F.asc_nulls_last("carrier_name")))
 
 
 def exceptions_by_customer(pod: DataFrame, customers: DataFrame) -> DataFrame:
     """AG3 (JN2 + two-key group)."""
-    j = pod.select("customer_id", "exception_flag", "damage_reported", "signature_present").join(
-        customers.select("customer_id", "customer_name", "customer_segment"), "customer_id", "left")
+    pre = pod.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n"), flag_count(F.col("exception_flag")).alias("e"),
+        flag_count(F.col("damage_reported")).alias("d"),
+        flag_count(~F.col("signature_present")).alias("m"))
+    j = pre.join(customers.select("customer_id", "customer_name", "customer_segment"),
+                 "customer_id", "left")
     return (j.groupBy("customer_name", "customer_segment")
-            .agg(F.count(F.lit(1)).alias("total_pods"),
-                 flag_count(F.col("exception_flag")).alias("exceptions"),
-                 flag_count(F.col("damage_reported")).alias("damages"),
-                 flag_count(~F.col("signature_present")).alias("missing_sigs"))
+            .agg(F.sum("n").alias("total_pods"), F.sum("e").alias("exceptions"),
+                 F.sum("d").alias("damages"), F.sum("m").alias("missing_sigs"))
             .orderBy(F.desc("exceptions"), F.asc_nulls_last("customer_name")))
 
 

@@ -6,6 +6,26 @@ from ..sources import fixtures as fx
 from .semantic import LogicalTable, Metric, Model, Relationship
 
 RATE = "ROUND(100.0 * SUM(CASE WHEN {c} THEN 1 ELSE 0 END) / NULLIF(COUNT(*), 0), 2)"
+RATE_FINAL = "ROUND(100.0 * SUM({num}) / NULLIF(SUM({den}), 0), 2)"
+
+
+def count_of(c: str) -> Metric:
+    return Metric(f"COUNT({c})", "long", {"n": f"COUNT({c})"}, "SUM({n})")
+
+
+def sum_of(c: str) -> Metric:
+    return Metric(f"SUM({c})", "double", {"s": f"SUM({c})"}, "SUM({s})")
+
+
+def flag_sum(cond: str) -> Metric:
+    e = f"SUM(CASE WHEN {cond} THEN 1 ELSE 0 END)"
+    return Metric(e, "long", {"s": e}, "SUM({s})")
+
+
+def rate_of(flag: str) -> Metric:
+    return Metric(RATE.format(c=flag), "double",
+                  {"num": f"SUM(CASE WHEN {flag} THEN 1 ELSE 0 END)", "den": "COUNT(*)"},
+                  RATE_FINAL)
 
 # The sample values declared in the reference model, per column.
 SAMPLE_VALUES = {
@@ -31,16 +51,16 @@ def logistics_model() -> Model:
             ["shipment_id", "order_id", "customer_id", "carrier_id", "destination_city", "status",
              "is_on_time", "ship_date", "expected_delivery_date", "actual_delivery_date"],
             ["weight_kg", "num_packages", "freight_cost"],
-            {"TOTAL_SHIPMENTS": Metric("COUNT(shipment_id)"),
-             "TOTAL_FREIGHT_COST": Metric("SUM(freight_cost)", "double"),
-             "ON_TIME_DELIVERY_RATE": Metric(RATE.format(c="is_on_time"), "double")},
+            {"TOTAL_SHIPMENTS": count_of("shipment_id"),
+             "TOTAL_FREIGHT_COST": sum_of("freight_cost"),
+             "ON_TIME_DELIVERY_RATE": rate_of("is_on_time")},
             _samples("SHIPMENTS")),
         "ORDERS": LogicalTable(
             "ORDERS", fx.fact_orders, ["order_id"],
             ["order_id", "customer_id", "order_status", "payment_method", "order_date"],
             ["order_value"],
-            {"TOTAL_ORDERS": Metric("COUNT(order_id)"),
-             "TOTAL_ORDER_VALUE": Metric("SUM(order_value)", "double")},
+            {"TOTAL_ORDERS": count_of("order_id"),
+             "TOTAL_ORDER_VALUE": sum_of("order_value")},
             _samples("ORDERS"), prunable=False),
         "POD_DOCUMENTS": LogicalTable(
             "POD_DOCUMENTS", fx.pod_fact, ["pod_id"],
@@ -48,19 +68,18 @@ def logistics_model() -> Model:
              "pod_status", "exception_flag", "exception_notes", "signature_present",
              "damage_reported", "partial_delivery", "delivery_date"],
             ["packages_received", "packages_expected"],
-            {"TOTAL_PODS": Metric("COUNT(pod_id)"),
-             "EXCEPTION_RATE": Metric(RATE.format(c="exception_flag"), "double"),
-             "MISSING_SIGNATURE_COUNT": Metric(
-                 "SUM(CASE WHEN NOT signature_present THEN 1 ELSE 0 END)"),
-             "DAMAGE_RATE": Metric(RATE.format(c="damage_reported"), "double")},
+            {"TOTAL_PODS": count_of("pod_id"),
+             "EXCEPTION_RATE": rate_of("exception_flag"),
+             "MISSING_SIGNATURE_COUNT": flag_sum("NOT signature_present"),
+             "DAMAGE_RATE": rate_of("damage_reported")},
             _samples("POD_DOCUMENTS")),
         "CLAIMS": LogicalTable(
             "CLAIMS", fx.fact_claims, ["claim_id"],
             ["claim_id", "shipment_id", "customer_id", "carrier_id", "claim_type", "claim_status",
              "claim_date", "resolution_date"],
             ["claim_amount", "resolution_amount"],
-            {"TOTAL_CLAIMS": Metric("COUNT(claim_id)"),
-             "TOTAL_CLAIM_AMOUNT": Metric("SUM(claim_amount)", "double")},
+            {"TOTAL_CLAIMS": count_of("claim_id"),
+             "TOTAL_CLAIM_AMOUNT": sum_of("claim_amount")},
             _samples("CLAIMS")),
         "CUSTOMERS": LogicalTable(
             "CUSTOMERS", fx.dim_customers, ["customer_id"],
