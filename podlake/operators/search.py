@@ -126,6 +126,20 @@ def _tf_batches(batches, only: list[str] | None = None):
         yield from out.to_batches()
 
 
+def _tf_and_lengths(batches, only: list[str]):
+    """``_tf_batches`` for the terms in ``only``, plus one (NULL, id, dl, NULL)
+    row per document: postings and document lengths from a single pass."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    for b in batches:
+        yield from _tf_batches([b], only)
+        n = b.num_rows
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(n, pa.string()), b.column(0),
+             pc.list_value_length(b.column(1)).cast(pa.int32()), pa.nulls(n, pa.int64())],
+            names=["term", "id", "dl", "tf"])
+
+
 def term_frequencies(tok: DataFrame, only: list[str] | None = None) -> DataFrame:
     """(id, toks) -> postings (term, id, dl, tf), computed where the rows are."""
     id_type = dict(tok.dtypes)["id"]
@@ -147,21 +161,33 @@ def search_batch(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame
                  allowed: DataFrame | None = None) -> DataFrame:
     """SE3 + SE4 for a one-shot batch of queries, without building a full index.
 
-    The corpus is tokenized once into a written table; the (proven small)
-    set of query terms is shipped to the tasks, which count only those terms'
-    postings in place (no shuffle of postings); document frequencies come from
-    those postings, N and the mean length from the token table. BM25 scores are
-    identical to a search over the full index.
+    The (proven small) set of query terms is shipped to the tasks, which
+    tokenize the corpus once and count only those terms' postings in place (no
+    shuffle of postings), together with every document's length; that small
+    result is written once. Document frequencies come from those postings, N
+    and the mean length from the length rows. BM25 scores are identical to a
+    search over the full index.
     """
-    tok = tokenize_table(docs, id_col, text_col)
     qt = query_terms(queries, qid, text)
     terms = [r[0] for r in qt.select("term").distinct().limit(MAX_PRUNE_TERMS + 1).collect()]
     if len(terms) > MAX_PRUNE_TERMS:
-        postings = term_frequencies(tok)       # large query sets: the full postings
+        # Large query sets: the full postings from a written token table.
+        tok = tokenize_table(docs, id_col, text_col)
+        postings, lengths = term_frequencies(tok), tok.select("id", "dl")
     else:
-        postings = term_frequencies(tok, terms)
+        # One tokenizing pass writes only the query terms' postings and the
+        # document lengths (rows with a NULL term), not every token.
+        from ..sources.io import materialize
+        tok = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
+        id_type = dict(tok.dtypes)["id"]
+        both = materialize(
+            tok.mapInArrow(lambda it: _tf_and_lengths(it, terms),
+                           f"term string, id {id_type}, dl int, tf bigint"),
+            docs.sparkSession, "postings")
+        postings = both.where(F.col("term").isNotNull())
+        lengths = both.where(F.col("term").isNull()).select("id", "dl")
     index = TextIndex(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")),
-                      tok.select("id", "dl"))
+                      lengths)
     return search(index, queries, k, qid, text, allowed)
 
 
