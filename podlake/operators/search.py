@@ -126,9 +126,10 @@ def _tf_batches(batches, only: list[str] | None = None):
         yield from out.to_batches()
 
 
-def _tf_and_lengths(batches, only: list[str]):
-    """``_tf_batches`` for the terms in ``only``, plus one (NULL, id, dl, NULL)
-    row per document: postings and document lengths from a single pass."""
+def _tf_and_lengths(batches, only: list[str] | None = None):
+    """``_tf_batches`` (for the terms in ``only`` if given), plus one
+    (NULL, id, dl, NULL) row per document: postings and document lengths from
+    a single pass."""
     import pyarrow as pa
     import pyarrow.compute as pc
     for b in batches:
@@ -140,6 +141,22 @@ def _tf_and_lengths(batches, only: list[str]):
             names=["term", "id", "dl", "tf"])
 
 
+def postings_and_lengths(docs: DataFrame, id_col: str, text_col: str,
+                         only: list[str] | None = None) -> DataFrame:
+    """One tokenizing pass -> postings (term, id, dl, tf) and, with a NULL
+    term, one length row per document; ``split_postings`` separates them."""
+    tok = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
+    id_type = dict(tok.dtypes)["id"]
+    return tok.mapInArrow(lambda it: _tf_and_lengths(it, only),
+                          f"term string, id {id_type}, dl int, tf bigint")
+
+
+def split_postings(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(postings, docs) of a ``postings_and_lengths`` table."""
+    return (both.where(F.col("term").isNotNull()),
+            both.where(F.col("term").isNull()).select("id", "dl"))
+
+
 def term_frequencies(tok: DataFrame, only: list[str] | None = None) -> DataFrame:
     """(id, toks) -> postings (term, id, dl, tf), computed where the rows are."""
     id_type = dict(tok.dtypes)["id"]
@@ -178,14 +195,9 @@ def search_batch(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame
         # One tokenizing pass writes only the query terms' postings and the
         # document lengths (rows with a NULL term), not every token.
         from ..sources.io import materialize
-        tok = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
-        id_type = dict(tok.dtypes)["id"]
-        both = materialize(
-            tok.mapInArrow(lambda it: _tf_and_lengths(it, terms),
-                           f"term string, id {id_type}, dl int, tf bigint"),
-            docs.sparkSession, "postings")
-        postings = both.where(F.col("term").isNotNull())
-        lengths = both.where(F.col("term").isNull()).select("id", "dl")
+        both = materialize(postings_and_lengths(docs, id_col, text_col, terms),
+                           docs.sparkSession, "postings")
+        postings, lengths = split_postings(both)
     index = TextIndex(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")),
                       lengths)
     return search(index, queries, k, qid, text, allowed)
