@@ -332,18 +332,35 @@ MAX_QUERY_VECTORS = 4096
 
 
 def cosine_top_k(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
-                 qid: str, qvec: str, k: int = 5, batch: int = 256) -> DataFrame:
-    """SE5: (query_id, id, score, rank) by cosine similarity, exact."""
-    rows = queries.select(qid, qvec).limit(MAX_QUERY_VECTORS + 1).collect()
-    if len(rows) > MAX_QUERY_VECTORS:
-        raise ValueError(f"more than {MAX_QUERY_VECTORS} query vectors; split the query set")
+                 qid: str, qvec: str, k: int = 5, batch: int = 256,
+                 max_queries: int = MAX_QUERY_VECTORS, _level: int = 0) -> DataFrame:
+    """SE5: (query_id, id, score, rank) by cosine similarity, exact.
+
+    Up to ``max_queries`` query vectors (checked by counting at most one more)
+    travel to the tasks as literals, ``batch`` at a time; each corpus row scores
+    against a batch with native higher-order functions and only the top k per
+    query and task leave the task. A larger query set is written once to the
+    shared folder partitioned by a hash chunk of the query id (chunks of about
+    half the bound); each chunk is searched over the whole corpus the same way
+    and appended to a result table, so the driver holds one chunk at a time and
+    the plan stays small. A chunk that hashing made too large is split again.
+    """
+    rows = queries.select(qid, qvec).limit(max_queries + 1).collect()
+    if len(rows) > max_queries:
+        return _cosine_top_k_chunked(corpus, id_col, vec_col, queries, qid, qvec, k, batch,
+                                     max_queries, _level)
+    if not rows:
+        return corpus.sparkSession.createDataFrame(
+            [], f"query_id {dict(queries.dtypes)[qid]}, id {dict(corpus.dtypes)[id_col]}, "
+                "score double, rank int")
+    qtype = dict(queries.dtypes)[qid]
     v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
     base = corpus.select(F.col(id_col).alias("id"), v.alias("v")).withColumn(
         "vn", F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)))
     parts = []
     for start in range(0, len(rows), batch):
         chunk = rows[start:start + batch]
-        qs = F.array(*[F.struct(F.lit(r[qid]).alias("query_id"),
+        qs = F.array(*[F.struct(F.lit(r[qid]).cast(qtype).alias("query_id"),
                                 F.array(*[F.lit(float(x)) for x in r[qvec]]).alias("q"),
                                 F.lit(math.sqrt(sum(float(x) ** 2 for x in r[qvec]))).alias("qn"))
                        for r in chunk])
@@ -356,6 +373,24 @@ def cosine_top_k(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFram
     return reduce(DataFrame.unionByName, parts)
 
 
+def _cosine_top_k_chunked(corpus, id_col, vec_col, queries, qid, qvec, k, batch,
+                          max_queries, level) -> DataFrame:
+    from ..session import scratch_path
+    spark = corpus.sparkSession
+    n = queries.count()
+    chunks = max(2, math.ceil(2 * n / max_queries))
+    keyed_path, out = scratch_path(spark, "query-vectors"), scratch_path(spark, "cosine-top-k")
+    (queries.select(qid, qvec)
+     .withColumn("__chunk", F.pmod(F.xxhash64(F.col(qid), F.lit(level)), F.lit(chunks)))
+     .write.partitionBy("__chunk").parquet(keyed_path))
+    keyed = spark.read.parquet(keyed_path)
+    for c in range(chunks):
+        part = keyed.where(F.col("__chunk") == c).drop("__chunk")
+        (cosine_top_k(corpus, id_col, vec_col, part, qid, qvec, k, batch, max_queries, level + 1)
+         .write.mode("append").parquet(out))
+    return spark.read.parquet(out)
+
+
 def centroids(df: DataFrame, key: str, vec_col: str, dim: int | None = None) -> DataFrame:
     """Mean vector per key: one partial + final aggregation with one ``avg`` per
     dimension (no explode, no collect_list of whole groups)."""

@@ -202,6 +202,20 @@ def test_cosine_top_k_exact(spark):
     assert [h.id for h in hits] == [1, 3]
 
 
+def test_cosine_top_k_chunked_equals_single_batch(t_small):
+    """A query set above the bound is searched chunk by chunk with the same hits:
+    30 embedding rows as queries against the whole embedding table, bound 4."""
+    emb = t_small.embeddings
+    q = emb.orderBy("vec_id").limit(30).select(F.col("vec_id").alias("qid"),
+                                                F.col("embedding").alias("qv"))
+    one_pass = search.cosine_top_k(emb, "vec_id", "embedding", q, "qid", "qv", k=3)
+    chunked = search.cosine_top_k(emb, "vec_id", "embedding", q, "qid", "qv", k=3,
+                                  max_queries=4)
+    key = ["query_id", "rank", "id", "score"]
+    assert chunked.count() == 90
+    assert sorted(one_pass.select(*key).collect()) == sorted(chunked.select(*key).collect())
+
+
 def test_rrf_fuses(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "query_id int, id int, rank int")
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id int, id int, rank int")
