@@ -51,9 +51,31 @@ def get_spark(master: str | None = None, app: str = "podlake",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    set_initial_partitions(spark)
     return spark
 
 
+INITIAL_PARTITIONS_KEY = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def initial_partitions(parallelism: int) -> int:
+    """Shuffle partitions a stage starts with on a cluster, before AQE merges
+    them to the 64 MB advisory size. AQE can merge but not split (other than
+    skew splits), so the start must suit the largest shuffle: 8 per core, at
+    least 2048 (a 1000-executor, 8000-core cluster starts at 64k partitions,
+    about 0.5 GB each for a 30 TB shuffle)."""
+    return max(2048, 8 * parallelism)
+
+
+def set_initial_partitions(spark: SparkSession) -> None:
+    """On a cluster, and only where the session has no value of its own."""
+    if spark.sparkContext.master.startswith("local"):
+        return
+    if spark.conf.get(INITIAL_PARTITIONS_KEY, None) is None:
+        spark.conf.set(INITIAL_PARTITIONS_KEY,
+                       str(initial_partitions(spark.sparkContext.defaultParallelism)))
+
+
 # Local runs only: small test tables are one Parquet row group each, so without
 # this AQE would coalesce a CPU-heavy stage (regex, tokenizing) into one task.
 LOCAL_CONF = {
@@ -102,6 +124,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
                 spark.conf.set(k, v)
             except Exception:  # static conf on a shared session: keep theirs
                 pass
+    set_initial_partitions(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:

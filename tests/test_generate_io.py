@@ -63,3 +63,14 @@ def test_shared_folder_comes_from_session(spark):
     d = spark.conf.get("spark.checkpoint.dir")
     assert d and scratch_path(spark, "x").startswith(d.rstrip("/"))
     assert os.path.isdir(d.replace("file:", ""))
+
+
+def test_initial_partitions_only_on_clusters(spark):
+    """AQE's starting partition count scales with the cluster and is never set
+    on a local session (nor over a value the session already has)."""
+    from podlake.session import INITIAL_PARTITIONS_KEY, initial_partitions, set_initial_partitions
+    assert initial_partitions(8) == 2048
+    assert initial_partitions(8000) == 64000
+    before = spark.conf.get(INITIAL_PARTITIONS_KEY, None)
+    set_initial_partitions(spark)
+    assert spark.conf.get(INITIAL_PARTITIONS_KEY, None) == before
