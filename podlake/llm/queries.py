@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat_format, line_dedup, quality_rules
+from . import chat_format, line_dedup, minhash_dedup, quality_rules
 
 QUERIES = {
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op8_minhash_dedup": minhash_dedup.op8_minhash_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op7_chat_format": chat_format.op7_chat_format,
 }
