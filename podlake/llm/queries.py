@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat_format, line_dedup, minhash_dedup, quality_rules
+from . import chat_format, decontaminate, line_dedup, minhash_dedup, packing, quality_rules
 
 QUERIES = {
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op8_minhash_dedup": minhash_dedup.op8_minhash_dedup,
+    "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op7_chat_format": chat_format.op7_chat_format,
 }
