@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, line_dedup, minhash_dedup, packing, quality_rules
+from . import chat_format, decontaminate, line_dedup, minhash_dedup, packing, quality_rules, warc_index
 
 QUERIES = {
+    "op2_warc_index": warc_index.op2_warc_index,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op8_minhash_dedup": minhash_dedup.op8_minhash_dedup,
