@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, line_dedup, minhash_dedup, packing, quality_rules, warc_index
+from . import chat_format, decontaminate, line_dedup, minhash_dedup, packing, pii_tagger, quality_rules, warc_index
 
 QUERIES = {
     "op2_warc_index": warc_index.op2_warc_index,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_pii_tagger": pii_tagger.op4_pii_tagger,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op8_minhash_dedup": minhash_dedup.op8_minhash_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
