@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, line_dedup, minhash_dedup, packing, pii_tagger, quality_rules, warc_index
+from . import chat_format, decontaminate, line_dedup, minhash_dedup, packing, pii_tagger, quality_rules, substring_dedup, warc_index
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.op1_substring_dedup,
     "op2_warc_index": warc_index.op2_warc_index,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op4_pii_tagger": pii_tagger.op4_pii_tagger,
