@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, line_dedup, minhash_dedup, packing, pii_tagger, quality_rules, substring_dedup, warc_index
+from . import chat_format, decontaminate, line_dedup, lm_scoring, minhash_dedup, packing, pii_tagger, quality_rules, substring_dedup, warc_index
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_minhash_dedup": minhash_dedup.op8_minhash_dedup,
     "op9_decontaminate": decontaminate.op9_decontaminate,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op6_lm_scoring": lm_scoring.op6_lm_scoring,
     "op7_chat_format": chat_format.op7_chat_format,
 }
 
