@@ -60,26 +60,28 @@ def edit_budget(m: int) -> int:
     return int(BUDGET * m)
 
 
-def aligned(item: str, region: str, width: int) -> tuple[int, int, int]:
+def aligned(item: str, region: str, width: int, pad: int = 0) -> tuple[int, int, int]:
     """Fewest edits between ``item`` and a passage of ``region`` whose alignment
-    stays on diagonals 0 to ``width``: (edits, start, end), the passage that
-    starts first among the best. One numpy row per character of the item."""
+    stays on diagonals -pad to width - pad: (edits, start, end), the passage that
+    starts first among the best. One numpy row per character of the item. Places
+    before and after the region match nothing: using one there costs an edit, as
+    leaving out the item's character does."""
     at = region.find(item)
-    if 0 <= at <= width:
+    if 0 <= at <= width - pad:
         return 0, at, at + len(item)
     one = np.int64(1) << np.int64(32)  # cost in the high half, start in the low
     text = np.full(len(item) + width + 1, -1, np.int64)
-    text[:len(region)] = np.frombuffer(region.encode("utf-32-le", "surrogatepass"), "<i4")[:len(text)]
+    chars = np.frombuffer(region.encode("utf-32-le", "surrogatepass"), "<i4")[:max(0, len(text) - pad)]
+    text[pad:pad + len(chars)] = chars
     steps_ = np.arange(width + 1, dtype=np.int64) * one
     row = np.arange(width + 1, dtype=np.int64)
     for j, c in enumerate(item):
         new = row + (text[j:j + width + 1] != ord(c)) * one
         np.minimum(new[:-1], row[1:] + one, out=new[:-1])
         row = np.minimum.accumulate(new - steps_) + steps_
-    # a passage may not run past the region
-    row = row[:max(1, len(region) - len(item) + 1)] if len(region) >= len(item) else row
     k = int(np.argmin(row >> np.int64(32)))
-    return int(row[k] >> 32), int(row[k] & 0xFFFFFFFF), min(len(region), len(item) + k)
+    start = max(0, int(row[k] & 0xFFFFFFFF) - pad)
+    return int(row[k] >> 32), start, max(start, min(len(region), len(item) + k - pad))
 
 
 class Items:
@@ -148,7 +150,7 @@ class Items:
                 plain = {r: folded(texts[r])}
             lo = max(0, diagonal)
             region = plain[r][lo:max(lo, diagonal + width + int(self.m[i]))]
-            edits, start, end = aligned(self.texts[i], region, width - (lo - diagonal))
+            edits, start, end = aligned(self.texts[i], region, width, lo - diagonal)
             if edits <= self.e[i]:
                 best.setdefault((r, i), []).append((edits, lo + start, lo + end))
         out = []

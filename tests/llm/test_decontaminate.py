@@ -71,6 +71,18 @@ def test_repeats_positions_and_case(spark):
     assert sum(x["item_id"] is None for x in got) == 3
 
 
+def test_passages_cut_by_the_text_ends(spark):
+    items = [(i, prose(i, 14 + i), "x") for i in range(4)]
+    rows = [(100 * i + c, items[i][1][c:] if c % 2 else items[i][1][:len(items[i][1]) - c])
+            for i in range(4) for c in range(0, 24, 1)]
+    rows += [(1000 + i, items[i][1][3:-3]) for i in range(4)]
+    want = {(i, j): distance(d.folded(t), d.folded(x)) for i, x in rows for j, t, _ in items}
+    want = {k: v for k, v in want.items() if v <= d.edit_budget(len(items[k[1]][1]))}
+    docs = spark.createDataFrame([doc(*x) for x in rows], DOC_SCHEMA)
+    got = d.leaks(docs, spark.createDataFrame(items, ITEM)).collect()
+    assert {(x["doc_id"], x["item_id"]): x["edits"] for x in got} == want
+
+
 def test_edges(spark, edge_docs, no_docs, edge_rows):
     items = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "one two three", "x"), (4, edge_rows[0][1][:200], "x")], ITEM)
     got = d.leaks(edge_docs, items).collect()
