@@ -100,15 +100,26 @@ def _curated(t) -> dict[str, DataFrame]:
 def q_row_counts(spark, sf):
     t = _t(spark, sf)
     named = _curated(t)
-    named["pod_search_corpus"] = fx.pod_fact(t, ["pod_id"])  # corpus = one row per POD
+    named["pod_search_corpus"] = _corpus_table(spark, t)
     return kpis.row_counts(named)
 
 
 def q_key_violations(spark, sf):
+    """All three facts made from lineitem share its line key: one pass for them."""
     t = _t(spark, sf)
-    keys = {"fact_shipments": "shipment_id", "fact_orders": "order_id", "pod_fact": "pod_id",
-            "fact_claims": "claim_id", "dim_customers": "customer_id", "dim_carriers": "carrier_id"}
-    return quality.key_violations({n: (df, keys[n]) for n, df in _curated(t).items()})
+    pod = F.col("l_linestatus") == "F"
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                              F.col("l_quantity").cast("int").alias("quantity"),
+                              F.col("l_shipdate").cast("date").alias("day"), "l_linestatus", "l_returnflag")
+    raw = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "quantity", "day"]
+    facts = quality.line_key_violations(lines, raw, {
+        "fact_shipments": ("shipment_id", F.lit(True)), "pod_fact": ("pod_id", pod),
+        "fact_claims": ("claim_id", pod & (F.col("l_returnflag") == "R") & (F.col("l_partkey") % 5 == 0))})
+    rest = quality.key_violations({
+        "fact_orders": (fx.fact_orders(t).select("order_id"), "order_id"),
+        "dim_customers": (fx.dim_customers(t).select("customer_id"), "customer_id"),
+        "dim_carriers": (fx.dim_carriers(t).select("carrier_id"), "carrier_id")})
+    return facts.unionByName(rest)
 
 
 def q_orphan_carriers(spark, sf):
@@ -139,7 +150,7 @@ def q_pod_extract_typed(spark, sf):
     return _typed(_t(spark, sf)).drop("pod_text_content")
 
 
-QUALITY_FIELDS = ["shipment_id", "order_id", "customer_id", "carrier_id", "delivery_date",
+QUALITY_FIELDS = ["pod_id", "receiver_name", "delivery_address", "shipment_id", "order_id", "customer_id", "carrier_id", "delivery_date",
                   "signed_by", "delivery_city", "delivery_state", "pod_status",
                   "exception_notes", "signature_present", "damage_description",
                   "partial_delivery", "packages_received", "packages_expected"]
@@ -147,7 +158,7 @@ QUALITY_FIELDS = ["shipment_id", "order_id", "customer_id", "carrier_id", "deliv
 
 def q_extraction_quality(spark, sf):
     t = _t(spark, sf)
-    truth = fx.pod_fact(t, ["pod_id"] + QUALITY_FIELDS)
+    truth = fx.pod_fact(t, QUALITY_FIELDS)
     return doc.extraction_quality(_typed(t), truth, "pod_id", QUALITY_FIELDS)
 
 
@@ -186,16 +197,19 @@ def q_parse_report(spark, sf):
 
 def q_clip_text(spark, sf):
     d = _t(spark, sf).documents.select("doc_id", "text")
-    return doc.clip_text(d, "text")
+    return doc.text_chunks(d, "text")
 
 
 def q_json_access(spark, sf):
-    """JSN1/JSN2: typed access into the JSON payload of events (missing -> NULL)."""
+    """JSN1/JSN2/JSN4: typed access into the JSON payload of events; a missing path
+    is NULL, or the default given with it."""
     e = _t(spark, sf).events.select("event_id", "event_type", "props")
     v = F.try_parse_json("props")
     return e.select("event_id", "event_type",
                     F.try_variant_get(v, "$.k", "bigint").alias("k"),
                     F.try_variant_get(v, "$.missing", "string").alias("missing"),
+                    F.coalesce(F.try_variant_get(v, "$.k", "string"), F.lit("none")).alias("k_or_none"),
+                    F.coalesce(F.try_variant_get(v, "$.meta.pages", "int"), F.lit(1)).alias("pages_or_1"),
                     (F.try_parse_json("props").isNull()).alias("bad_json"))
 
 
@@ -219,13 +233,17 @@ def q_search_source(spark, sf):
     return search.search_source(_corpus(_t(spark, sf)))
 
 
-def q_postings(spark, sf):
-    idx = search.build_index(_corpus(_t(spark, sf)), "pod_id", "search_text")
-    return idx.postings.select("term", F.col("id").alias("pod_id"), "tf", "dl")
+def _pod_index(spark, t) -> tuple[DataFrame, search.TextIndex]:
+    """The written POD corpus and the stored index over it, as a search service
+    keeps them; the search queries below read only these."""
+    corpus = _corpus_table(spark, t)
+    return corpus, search.materialize_index(corpus, "pod_id", "search_text", "pod-index", stemmed=True)
 
 
-def _doc_index(t):
-    return search.build_index(spread(t.documents.select("doc_id", "text")), "doc_id", "text")
+def q_postings(spark, sf):
+    """The stored index's postings, read back."""
+    _, index = _pod_index(spark, _t(spark, sf))
+    return index.postings.select("term", F.col("id").alias("pod_id"), "tf", "dl")
 
 
 def q_bm25_topk(spark, sf):
@@ -236,11 +254,16 @@ def q_bm25_topk(spark, sf):
     return hits.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
 
 
+#: What a search result shows of a POD beside its rank (PRJ4).
+HIT_COLUMNS = ["customer_name", "carrier_name", "pod_status", "exception_notes", "damage_description"]
+
+
 def q_bm25_filtered(spark, sf):
     """SE7: several attribute-filtered searches in one plan: the allowed
-    (query_id, pod_id) pairs are one union of filters over the search source."""
+    (query_id, pod_id) pairs are one union of filters over the search source, and
+    cut the postings before scores are summed."""
     t = _t(spark, sf)
-    corpus = _corpus_table(spark, t)
+    corpus, index = _pod_index(spark, t)
     src = search.search_source(corpus)
     q = spark.createDataFrame([(i, txt) for i, txt, _, _ in FILTERED_QUERIES],
                               "query_id int, text string")
@@ -249,8 +272,9 @@ def q_bm25_filtered(spark, sf):
                                 for i, _, attr, val in FILTERED_QUERIES]),
                       lambda x: x.isNotNull())
     allowed = src.select(F.col("pod_id").alias("id"), F.explode(passes).alias("query_id"))
-    hits = search.search_batch(corpus, "pod_id", "search_text", q, k=SEARCH_K, allowed=allowed)
-    return hits.select("query_id", "rank", F.col("id").alias("pod_id"), "score")
+    hits = search.search(index, q, k=SEARCH_K, allowed=allowed)
+    shown = corpus.select(F.col("pod_id").alias("id"), *HIT_COLUMNS)
+    return hits.join(shown, "id").select("query_id", "rank", F.col("id").alias("pod_id"), "score", *HIT_COLUMNS)
 
 
 def _label_centroids(t) -> DataFrame:
@@ -266,10 +290,19 @@ def q_vector_topk(spark, sf):
 
 
 def q_index_health(spark, sf):
+    """SE10: the first half of the PODs (even order keys) is indexed while all are
+    in the corpus, then the rest is appended: the state before and after."""
+    from .session import scratch_path
     t = _t(spark, sf)
-    idx = search.build_index(_corpus(t), "pod_id", "search_text")
-    return search.index_health(idx.docs.select(F.col("id").alias("pod_id")),
-                               fx.pod_fact(t, ["pod_id"]), "pod_id")
+    corpus, path = _corpus_table(spark, t), scratch_path(spark, "health-index")
+    number = F.regexp_extract("order_id", "[0-9]+", 0).cast("long")
+    states = []
+    for phase, part in (("first files", corpus.where(number % 2 == 0)), ("refreshed", corpus.where(number % 2 != 0))):
+        search.write_index(part, "pod_id", "search_text", path, stemmed=True)
+        indexed = search.load_index(spark, path, stemmed=True).docs.select(F.col("id").alias("pod_id"))
+        state = search.index_health(indexed, corpus.select("pod_id"), "pod_id")
+        states.append(io.materialize(state.select(F.lit(phase).alias("phase"), "*"), spark, "index-state"))
+    return states[0].unionByName(states[1])
 
 
 HYBRID_DEPTH = 20   # each ranking contributes its top 20 to the fusion
@@ -315,12 +348,11 @@ def q_kpi_with_evidence(spark, sf):
                Window.orderBy(F.desc("exception_pct"), F.asc("carrier_name")))))
     # A handful of rows read by three later steps: written once, not recomputed.
     worst = io.materialize(top, spark, "worst-carriers")
-    corpus = _corpus(t)
+    corpus, index = _pod_index(spark, t)
     queries = worst.select("query_id", F.lit(EVIDENCE_TEXT).alias("text"))
     allowed = (corpus.select(F.col("pod_id").alias("id"), "carrier_name")
-               .join(F.broadcast(worst.select("query_id", "carrier_name")), "carrier_name"))
-    hits = search.search_batch(corpus.select("pod_id", "search_text"), "pod_id", "search_text",
-                               queries, k=EVIDENCE_K, allowed=allowed)
+               .join(F.broadcast(worst.select("query_id", "carrier_name")), "carrier_name"))  # WORST_CARRIERS rows
+    hits = search.search(index, queries, k=EVIDENCE_K, allowed=allowed)
     return (hits.join(worst.select("query_id", "carrier_name", "exception_pct"), "query_id")
             .select("carrier_name", "exception_pct", "rank", F.col("id").alias("pod_id"),
                     "score"))
@@ -364,6 +396,42 @@ def q_review_prefill(spark, sf):
                                      "form_damage_description")
 
 
+def _pod_decisions(t) -> DataFrame:
+    ex = doc.extract_fields(_pod_extracted(t), "raw_text")
+    return review.pod_decisions(ex, doc.EXTRACTION_KEYS, REVIEWER)
+
+
+def q_review_pods_log(spark, sf):
+    """RV1-RV4 on all PODs and their 18 fields: the audit log, appended to a table
+    with VARIANT payloads and read back from it."""
+    from .session import scratch_path
+    path = scratch_path(spark, "pod-review-log")
+    log = review.audit_rows(_pod_decisions(_t(spark, sf)), doc.EXTRACTION_KEYS, "ai_pod_reference", "file_name",
+                            REVIEWER, REVIEWED_AT)
+    review.append_log(log, path)
+    back = spark.read.parquet(path)
+    return back.select("review_id", "pod_id", "file_name", "review_status", "reviewer", "fields_modified",
+                       F.try_variant_get("raw_ai_output", "$.signature_present", "string").alias("ai_signature"),
+                       F.try_variant_get("final_output", "$.signature_present", "string").alias("final_signature"))
+
+
+def q_review_pods_fact(spark, sf):
+    """RV5: approved PODs as POD_FACT rows."""
+    return review.approved_pods(_pod_decisions(_t(spark, sf)), doc.EXTRACTION_KEYS).drop("pod_text_content")
+
+
+# --- file registry -------------------------------------------------------------------
+
+def q_page_registry(spark, sf):
+    """SRC1 / SRC2 / ST7 over the pages: one registry row per path, the page that
+    was registered first, and whether its type is accepted."""
+    p = _t(spark, sf).pages.select("page_id", F.regexp_replace("url", r"[?#].*$", "").alias("path"))
+    first = p.groupBy("path").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("registered"))
+    rows = first.withColumn("file_name", io.base_name(F.col("path")))
+    good = io.accepted_uploads(rows, "file_name", ("html",)).select("path", F.lit(True).alias("accepted"))
+    return rows.join(good, "path", "left").withColumn("accepted", F.coalesce("accepted", F.lit(False)))
+
+
 # --- routing -----------------------------------------------------------------------
 
 def q_route_questions(spark, sf):
@@ -386,24 +454,30 @@ def q_stream_pods(spark, sf):
     return spark.read.parquet(fact_path).select(*cols)
 
 
+def q_stream_parse(spark, sf):
+    """ST2: the pages arrive as a stream and are parsed into POD_EXTRACTED, errors
+    under their own route; both routes are read back."""
+    from .streaming import pipeline as P
+    wd = P.workdir(spark, "stream-parse")
+    pages = P.table_stream(spark, sf, "pages").select(
+        F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html")).alias("file_name"),
+        F.col("url").alias("file_relative_path"), F.col("html").alias("content"))
+    extracted, _ = P.run_pipeline(P.parse_stream(pages), wd)
+    return spark.read.parquet(extracted).select("file_name", "file_relative_path", "raw_text", "page_count",
+                                                "error_info", "route")
+
+
 def q_stream_files_window(spark, sf):
-    """ST8: events per 5-minute window with a 10-minute watermark (append mode:
-    a window is written once, when the watermark has passed its end)."""
+    """ST8: events and errors per 5-minute window, late arrivals included."""
     from .streaming import pipeline as P
-    wd = P.workdir(spark, "stream-window")
-    P.run(P.windowed_counts(P.table_stream(spark, sf, "events")), f"{wd}/out", f"{wd}/_chk")
-    return spark.read.parquet(f"{wd}/out")
+    return P.windowed_counts(P.table_stream(spark, sf, "events"), P.workdir(spark, "stream-window")).drop("late")
 
 
 def q_stream_dedup(spark, sf):
-    """ST7: duplicates of (user_id, event_type) dropped within the watermark."""
+    """ST7: every (user_id, event_type) once."""
     from .streaming import pipeline as P
-    wd = P.workdir(spark, "stream-dedup")
-    ev = P.table_stream(spark, sf, "events")
-    d = (ev.withColumn("__ets", F.col("ts").cast("timestamp")).withWatermark("__ets", "1 hour")
-         .dropDuplicatesWithinWatermark(["user_id", "event_type"]).select("user_id", "event_type"))
-    P.run(d, f"{wd}/out", f"{wd}/_chk")
-    return spark.read.parquet(f"{wd}/out")
+    return P.distinct_keys(P.table_stream(spark, sf, "events"), ["user_id", "event_type"],
+                           P.workdir(spark, "stream-dedup"))
 
 
 def q_stream_corpus(spark, sf):
@@ -446,6 +520,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vq_missing_sig_city": _vq(vq.vq_missing_sig_city, MISSING_SIG_CITY),
     "vq_pod_for_shipment": _vq(vq.vq_pod_for_shipment, LOOKUP_SHIPMENT),
     "vq_on_time_by_dates": _vq(vq.vq_on_time_by_dates),
+    "vq_orders_by_segment": _vq(vq.vq_orders_by_segment),
+    "vq_shipments_by_segment": _vq(vq.vq_shipments_by_segment),
+    "vq_claims_by_segment": _vq(vq.vq_claims_by_segment),
+    "vq_damage_rate_by_carrier_type": _vq(vq.vq_damage_rate_by_carrier_type),
+    "vq_shipments_by_grain": _vq(vq.vq_shipments_by_grain),
+    "orphan_report": _vq(vq.orphan_report),
     "drill_across_carrier": _vq(vq.drill_across_carrier),
     "domain_check": _vq(vq.domain_check),
     "render_pod_text": q_render_pod_text,
@@ -472,9 +552,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "review_kpis": q_review_kpis,
     "review_queue": q_review_queue,
     "review_prefill": q_review_prefill,
+    "review_pods_log": q_review_pods_log,
+    "review_pods_fact": q_review_pods_fact,
+    "page_registry": q_page_registry,
     "route_questions": q_route_questions,
     "hybrid_topk": q_hybrid_topk,
     "kpi_with_evidence": q_kpi_with_evidence,
+    "stream_parse": q_stream_parse,
     "stream_pods": q_stream_pods,
     "stream_files_window": q_stream_files_window,
     "stream_dedup": q_stream_dedup,

@@ -12,9 +12,16 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def padded(c: str | Column, width: int) -> Column:
+    """A number with leading zeros up to ``width`` digits; longer ones stay whole
+    (LPAD alone would cut them and merge distinct keys)."""
+    text = col(c).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def padded_id(prefix: str, c: str | Column, width: int) -> Column:
-    """'CAR' || LPAD(CAST(x AS STRING), width, '0'); LPAD truncates longer input."""
-    return F.concat(F.lit(prefix), F.lpad(col(c).cast("string"), width, "0"))
+    """A printed id such as 'CAR000042'."""
+    return F.concat(F.lit(prefix), padded(c, width))
 
 
 def flag_count(cond: Column) -> Column:
@@ -70,8 +77,3 @@ def pick(options: list[str], default: str, c: str | Column) -> Column:
 def month(c: str | Column) -> Column:
     """DATE_TRUNC('month', d)::DATE."""
     return F.trunc(col(c), "month")
-
-
-def nullif_empty(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
-

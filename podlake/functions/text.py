@@ -7,12 +7,13 @@ means the same thing in Java regex and in RE2 (the oracle's dialect).
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# HTML entities decoded by the layout/OCR text parser ('&amp;' last).
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-            ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+RE_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
 
 # Tags that end a block in LAYOUT mode (turned into a line break).
 BLOCK_TAGS = ["p", "div", "h[1-6]", "li", "ul", "ol", "tr", "table", "article", "section",
@@ -21,7 +22,6 @@ BLOCK_TAGS = ["p", "div", "h[1-6]", "li", "ul", "ol", "tr", "table", "article",
 RE_COMMENT = r"(?s)<!--.*?-->"
 RE_SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
 RE_STYLE = r"(?is)<style\b[^>]*>.*?</style\s*>"
-RE_HEAD = r"(?is)<head\b[^>]*>.*?</head\s*>"
 RE_BLOCK = r"(?i)</?(" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
 RE_CELL = r"(?i)</t[dh]\s*>"
 RE_TAG = r"<[^>]*>"
@@ -30,10 +30,31 @@ RE_ANYSPACE = r"[ \t\n\r\f]+"
 RE_EDGE = r"^[ \n]+|[ \n]+$"
 
 
+def _named() -> dict[str, str]:
+    """Every named reference of HTML that ends in a semicolon, from the standard
+    library's table; those that stand for white space become a space."""
+    return {k[:-1]: " " if v.isspace() else v for k, v in html5.items() if k.endswith(";")}
+
+
+def decode_reference(ref: Column) -> Column:
+    """The text of one reference such as 'amp', '#8217' or '#x2014'; NULL if there
+    is no such name."""
+    number = F.when(F.lower(F.substring(ref, 2, 1)) == "x", F.conv(F.substring(ref, 3, 6), 16, 10)) \
+        .otherwise(F.substring(ref, 2, 7)).cast("int")
+    valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+    code = F.when(number == 160, 32).when(valid, number).otherwise(0xFFFD)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    names = F.create_map(*[F.lit(x) for kv in sorted(_named().items()) for x in kv])
+    return F.when(F.startswith(ref, F.lit("#")), char).otherwise(F.try_element_at(names, ref))
+
+
 def decode_entities(c: Column) -> Column:
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+    """All numeric and named references decoded, each once and in its place, so the
+    result of one is never read as part of another; unknown names stay."""
+    refs = F.regexp_extract_all(c, F.lit(RE_REFERENCE), F.lit(1))
+    decoded = F.zip_with(F.split(c, RE_REFERENCE, -1), refs, lambda piece, ref: F.when(ref.isNull(), piece).otherwise(
+        F.concat(piece, F.coalesce(decode_reference(ref), F.concat(F.lit("&"), ref, F.lit(";"))))))
+    return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
 
 
 def html_to_text(c: Column, mode: str = "LAYOUT") -> Column:
@@ -41,7 +62,6 @@ def html_to_text(c: Column, mode: str = "LAYOUT") -> Column:
     x = F.regexp_replace(c, RE_COMMENT, "")
     x = F.regexp_replace(x, RE_SCRIPT, "")
     x = F.regexp_replace(x, RE_STYLE, "")
-    x = F.regexp_replace(x, RE_HEAD, "")
     if mode == "LAYOUT":
         x = F.regexp_replace(x, RE_BLOCK, "\n")
         x = F.regexp_replace(x, RE_CELL, " ")
@@ -95,3 +115,16 @@ def tokens(text: Column) -> Column:
     four steps are native, code-generated expressions."""
     ascii_words = F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), TOKEN_SPLIT_JVM, " "))
     return F.array_remove(F.split(ascii_words, " "), "")
+
+
+#: Suffix rules of ``stem`` in order: (pattern, what stays of it, added letters).
+STEM_RULES = [("^([a-z]{2,})ies$", "y"), ("^([a-z]{3,})(ed|ing)$", ""), ("^([a-z]{2,}[a-rt-z])s$", ""),
+              ("^([a-z]{3,})e$", "")]
+
+
+def stem(term: Column) -> Column:
+    """A term without its English ending, so that "damaged deliveries" finds
+    "damage" and "delivery". Used on both sides of a search."""
+    for pattern, more in STEM_RULES:
+        term = F.regexp_replace(term, pattern, "$1" + more)
+    return term

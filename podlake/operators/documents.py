@@ -131,13 +131,10 @@ def extract_fields(df: DataFrame, text: str, spec: dict[str, str] | None = None,
     return df.select("*", *cols)
 
 
-def to_pod_fact(df: DataFrame, text: str = "raw_text", file_name: str = "file_name",
-                clip: bool = True) -> DataFrame:
-    """DOC4: the 18 strings -> typed POD_FACT columns (pipeline rules)."""
+def to_pod_fact(df: DataFrame, text: str = "raw_text", file_name: str = "file_name") -> DataFrame:
+    """DOC4: the 18 strings -> typed POD_FACT columns (pipeline rules). The text
+    is kept whole; ``text_chunks`` cuts it for sinks with a length limit."""
     c = F.col
-    body = c(text)
-    if clip:
-        body = F.substring(body, 1, MAX_FACT_TEXT)
     return df.select(
         c("pod_reference").alias("pod_id"), c("shipment_id"), c("order_id"), c("customer_id"),
         c("carrier_name").alias("carrier_id"),  # the pipeline stores the name here (T6)
@@ -151,19 +148,21 @@ def to_pod_fact(df: DataFrame, text: str = "raw_text", file_name: str = "file_na
         try_int("packages_received").alias("packages_received"),
         try_int("packages_expected").alias("packages_expected"),
         c(file_name).alias("pod_file_name"),
-        body.alias("pod_text_content"),
+        c(text).alias("pod_text_content"),
         F.lit(CONFIDENCE).cast("double").alias("extraction_confidence"),
     )
 
 
-def clip_text(df: DataFrame, col: str, n: int = MAX_FACT_TEXT) -> DataFrame:
-    """DOC9 (T8): keep the first n characters and say whether text was cut."""
-    length = F.length(col)
-    return df.withColumns({
-        f"{col}_chars": length.cast("long"),
-        f"{col}_truncated": F.coalesce(length > n, F.lit(False)),
-        col: F.substring(col, 1, n),
-    })
+def text_chunks(df: DataFrame, col: str, n: int = MAX_FACT_TEXT) -> DataFrame:
+    """DOC9 (T8): a text as ordered chunks of at most ``n`` characters, for a sink
+    that holds no longer ones. Nothing is cut off: the chunks of a row, in order,
+    are its text. Adds {col}_chars (of the whole), {col}_chunks and chunk_no
+    (from 0); a NULL or empty text is one chunk."""
+    length = F.coalesce(F.length(col), F.lit(0))
+    chunks = F.greatest(F.lit(1), F.ceil(length / n)).cast("int")
+    return (df.withColumns({f"{col}_chars": F.length(col).cast("long"), f"{col}_chunks": chunks})
+            .withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.col(f"{col}_chunks") - 1)))
+            .withColumn(col, F.col(col).substr(F.col("chunk_no") * n + 1, F.lit(n))))
 
 
 # --- DOC6 -------------------------------------------------------------------------
@@ -186,6 +185,8 @@ def pod_text(carrier_name: Column | None = None) -> Column:
         F.concat(F.lit("Delivery Date: "),
                  F.coalesce(c("delivery_date").cast("string"), F.lit("not stated"))),
         F.concat(F.lit("Signed By: "), c("signed_by")),
+        F.concat(F.lit("Receiver: "), c("receiver_name")),
+        F.concat(F.lit("Address: "), c("delivery_address")),
         F.concat(F.lit("City: "), F.coalesce(c("delivery_city"), F.lit(""))),
         F.concat(F.lit("State: "), F.coalesce(c("delivery_state"), F.lit(""))),
         F.concat(F.lit("Status: "), c("pod_status")),
@@ -205,8 +206,8 @@ def pod_text(carrier_name: Column | None = None) -> Column:
 
 
 POD_TEXT_INPUTS = ["pod_id", "shipment_id", "order_id", "customer_id", "carrier_id",
-                   "delivery_date", "signed_by", "delivery_city", "delivery_state", "pod_status",
-                   "exception_notes", "signature_present", "damage_description",
+                   "delivery_date", "signed_by", "receiver_name", "delivery_address", "delivery_city",
+                   "delivery_state", "pod_status", "exception_notes", "signature_present", "damage_description",
                    "partial_delivery", "packages_received", "packages_expected", "pod_file_name"]
 
 
@@ -246,18 +247,19 @@ def extraction_quality(extracted: DataFrame, truth: DataFrame, key: str,
                        fields: list[str]) -> DataFrame:
     """DOC8: per field rows, matches, accuracy % and null rate of the extraction.
 
-    One join on the key (both sides shuffled once), per-field null-safe
-    comparisons in one projection, then a stack + partial aggregation.
+    One join on the key and one global aggregate with two counters per field; the
+    single row of totals is then turned into one row per field.
     """
-    e = extracted.select(key, *[F.col(f).cast("string").alias(f"e__{f}") for f in fields])
-    t = truth.select(key, *[F.col(f).cast("string").alias(f"t__{f}") for f in fields])
-    j = t.join(e, key, "left")
-    per_field = [F.struct(F.lit(f).alias("field"),
-                          F.col(f"e__{f}").eqNullSafe(F.col(f"t__{f}")).alias("match"),
-                          F.col(f"e__{f}").isNull().alias("is_null")) for f in fields]
-    long = j.select(F.explode(F.array(*per_field)).alias("r")).select("r.*")
-    rows = F.count(F.lit(1))
-    return (long.groupBy("field")
-            .agg(rows.alias("rows"), F.count_if("match").alias("matches"),
-                 pct(F.count_if("match"), rows, 2).alias("accuracy_pct"),
-                 pct(F.count_if("is_null"), rows, 2).alias("null_pct")))
+    e = extracted.select(key, *[F.col(f).cast("string").alias(f"e__{f}") for f in fields if f != key],
+                         *([F.col(key).alias(f"e__{key}")] if key in fields else []))
+    t = truth.select(key, *[F.col(f).cast("string").alias(f"t__{f}") for f in fields if f != key],
+                     *([F.col(key).alias(f"t__{key}")] if key in fields else []))
+    totals = t.join(e, key, "left").agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(f"e__{f}").eqNullSafe(F.col(f"t__{f}"))).alias(f"m__{f}") for f in fields],
+        *[F.count_if(F.col(f"e__{f}").isNull()).alias(f"n__{f}") for f in fields])
+    per_field = F.array(*[F.struct(F.lit(f).alias("field"), F.col("rows"), F.col(f"m__{f}").alias("matches"),
+                                   F.col(f"n__{f}").alias("nulls")) for f in fields])
+    rows = totals.select(F.explode(per_field).alias("r")).select("r.*")
+    return rows.select("field", "rows", "matches", pct(F.col("matches"), F.col("rows"), 2).alias("accuracy_pct"),
+                       pct(F.col("nulls"), F.col("rows"), 2).alias("null_pct"))

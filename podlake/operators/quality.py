@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,20 @@ def key_violations(named: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def line_key_violations(lines: DataFrame, raw_key: list[str], tables: dict[str, tuple[str, Column]]) -> DataFrame:
+    """SRC10 for facts whose keys print the same raw columns: ``tables`` maps a
+    table to (its key, which lines it holds). One scan and one shuffle, by the raw
+    columns, serve them all; a key with a NULL column is a NULL key."""
+    per_key = lines.groupBy(*raw_key).agg(*[F.count_if(held).alias(f"n_{t}") for t, (_, held) in tables.items()])
+    null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in raw_key])
+    totals = per_key.agg(*[F.count_if(~null & (F.col(f"n_{t}") > 1)).alias(f"dup_{t}") for t in tables],
+                         *[F.coalesce(F.sum(F.when(null, F.col(f"n_{t}"))), F.lit(0)).cast("long").alias(f"null_{t}")
+                           for t in tables])
+    rows = F.array(*[F.struct(F.lit(t).alias("tbl"), F.lit(key).alias("key_col"), F.col(f"dup_{t}").alias("dup_keys"),
+                              F.col(f"null_{t}").alias("null_keys")) for t, (key, _) in tables.items()])
+    return totals.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """JN10: fact rows whose key has no match in the dimension (left anti join).
     NULL keys never match and are returned too."""

@@ -96,3 +96,32 @@ def approved_to_fact(df: DataFrame, fields: list[str], id_col: str, file_col: st
 def to_variant(df: DataFrame, cols: list[str]) -> DataFrame:
     """SNK4: JSON payload text -> VARIANT columns for storage."""
     return df.withColumns({c: F.try_parse_json(F.col(c)) for c in cols})
+
+
+def append_log(log: DataFrame, path: str) -> None:
+    """SNK4: audit rows appended to the log table, payloads as VARIANT."""
+    to_variant(log, ["raw_ai_output", "final_output"]).write.mode("append").parquet(path)
+
+
+def pod_decisions(extracted: DataFrame, fields: list[str], reviewer: str) -> DataFrame:
+    """RV1 + RV2 for extracted PODs: the form's defaults are the final values, and
+    the batch rule approves clean or excepted deliveries with a signature, rejects
+    undeliverable ones and leaves the rest flagged."""
+    form = {"delivery_status": "form_status", "signature_present": "form_signature",
+            "partial_delivery": "form_partial", "exception_notes": "form_exception_notes",
+            "damage_description": "form_damage_description"}
+    p = prefill(extracted).withColumn("reviewer", F.lit(reviewer))
+    p = p.withColumn("action", F.when(F.col("form_status") == "Undeliverable", "reject")
+                     .when((F.col("form_signature") == "Yes") & F.col("form_status").startswith("Delivered"), "approve")
+                     .otherwise("flag"))
+    return decide(p).select(
+        "file_name", "raw_text", "review_status", *[F.col(f).alias(f"ai_{f}") for f in fields],
+        *[F.col(form.get(f, f)).alias(f"final_{f}") for f in fields])
+
+
+def approved_pods(decisions: DataFrame, fields: list[str]) -> DataFrame:
+    """RV5: approved reviews as typed POD_FACT rows, from the final values."""
+    from .documents import to_pod_fact
+    final = decisions.where(F.col("review_status") == "APPROVED").select(
+        "file_name", "raw_text", *[F.col(f"final_{f}").alias(f) for f in fields])
+    return to_pod_fact(final)

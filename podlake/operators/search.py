@@ -1,43 +1,56 @@
 """Search: corpus, inverted index, BM25 and vector top-k, fusion.
 
-Index build (SE3) is one pass over the corpus: tokens are exploded per row,
-``groupBy(id, term)`` gives term frequencies (partial aggregation per task, so
-the shuffle moves distinct (doc, term) pairs only, balanced on both keys), and
-``groupBy(term)`` on the postings gives document frequencies (again partially
-aggregated: a term in every document -- "the" -- is counted map-side, not in
-one reducer). Postings can be written partitioned by a term bucket so that a
-query's join on (bucket, term) prunes the index files it never needs.
-
-Query (SE4): the small query-term table joins the term statistics and the
-postings on ``term`` (AQE broadcasts it after measuring it; a hot term on the
-postings side is never collected in one task because the postings side is the
-streamed side), scores are summed per (query, doc), and the per-query top-k is
-a ``row_number`` window that Spark plans as a partial + final
-WindowGroupLimit, so only k rows per query and task cross the shuffle.
+Index build (SE3): tokens are exploded per row and ``groupBy(term, id)`` gives
+term frequencies; document frequencies are a ``groupBy(term)`` over the postings.
+Both aggregate partially per task, so a term that every document holds is counted
+map-side. A stored index keeps its postings by (term bucket, salt): a bucket's
+files hold its terms in order, and the salt spreads a hot term over several files
+and tasks. Batches are appended; N, df and mean length are sums at query time.
+
+Query (SE4): query terms join the term statistics and the postings on (bucket,
+term) as tables; whichever side is small is broadcast by Spark after measuring
+it. Filters (SE7) cut the postings before scores are summed; corpus statistics
+stay global. The per-query top k is a ``row_number`` window that Spark plans as a
+partial and a final limit, so only k rows per query and task are shuffled.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
-from ..session import is_small
+from ..functions.text import stem, tokens
 from .documents import pod_text
 
 K1 = 1.2
 B = 0.75
 RRF_K = 60
 SCORE_DIGITS = 6
-MAX_PRUNE_TERMS = 10_000
+BUCKETS = 64
+#: Files that a bucket of a stored index is spread over.
+SALTS = 4
+#: Query vectors that meet a corpus row together.
+VECTOR_BLOCK = 256
 
 
 # --- SE1 / SE2 --------------------------------------------------------------------
 
+#: The lines of SEARCH_TEXT after the document's own text, as
+#: (label, column, text where it is NULL, condition of the line).
+SEARCH_TEXT = [
+    ("Customer: ", "customer_name", "Unknown", None),
+    ("Carrier: ", "carrier_name", "Unknown", None),
+    ("Status: ", "pod_status", "Unknown", None),
+    ("City: ", "delivery_city", "Unknown", None),
+    ("EXCEPTION: ", "exception_notes", "No details", "exception_flag"),
+    ("DAMAGE: ", "damage_description", "No details", "damage_reported"),
+    ("WARNING: ", None, "Missing signature", "NOT signature_present"),
+]
+
+
 def build_corpus(pod: DataFrame, customers: DataFrame, carriers: DataFrame) -> DataFrame:
     """SE1: denormalised POD rows (JN3) plus SEARCH_TEXT. Never NULL (T18)."""
     j = (pod.join(customers.select("customer_id", "customer_name", "customer_segment"),
@@ -48,21 +61,12 @@ def build_corpus(pod: DataFrame, customers: DataFrame, carriers: DataFrame) -> D
         else c("pod_text_content")
     j = j.withColumn("pod_text_content", text)
 
-    def line(label: str, v: Column, fallback: str) -> Column:
-        return F.concat(F.lit(label), F.coalesce(v, F.lit(fallback)), F.lit("\n"))
-
-    search_text = F.concat(
-        F.coalesce(c("pod_text_content"), F.lit("")), F.lit("\n\n"),
-        line("Customer: ", c("customer_name"), "Unknown"),
-        line("Carrier: ", c("carrier_name"), "Unknown"),
-        line("Status: ", c("pod_status"), "Unknown"),
-        line("City: ", c("delivery_city"), "Unknown"),
-        F.when(c("exception_flag"), line("EXCEPTION: ", c("exception_notes"), "No details"))
-         .otherwise(F.lit("")),
-        F.when(c("damage_reported"), line("DAMAGE: ", c("damage_description"), "No details"))
-         .otherwise(F.lit("")),
-        F.when(~c("signature_present"), F.lit("WARNING: Missing signature\n")).otherwise(F.lit("")),
-    )
+    parts = [F.coalesce(c("pod_text_content"), F.lit("")), F.lit("\n\n")]
+    for label, value, fallback, flag in SEARCH_TEXT:
+        body = F.coalesce(c(value), F.lit(fallback)) if value else F.lit(fallback)
+        entry = F.concat(F.lit(label), body, F.lit("\n"))
+        parts.append(F.when(F.expr(flag), entry).otherwise(F.lit("")) if flag else entry)
+    search_text = F.concat(*parts)
     return j.select(
         "pod_id", "shipment_id", "order_id", "customer_name", "customer_segment", "carrier_name",
         "carrier_type", "delivery_date", "delivery_city", "delivery_state", "pod_status",
@@ -71,6 +75,7 @@ def build_corpus(pod: DataFrame, customers: DataFrame, carriers: DataFrame) -> D
         "pod_text_content", search_text.alias("search_text"))
 
 
+#: The attributes a search result carries.
 SOURCE_ATTRIBUTES = ["pod_id", "shipment_id", "order_id", "customer_name", "carrier_name",
                      "delivery_date", "delivery_city", "pod_status", "exception_flag",
                      "exception_notes", "damage_reported", "signature_present"]
@@ -84,71 +89,44 @@ def search_source(corpus: DataFrame) -> DataFrame:
         *[F.col(a).cast("string").alias(a) if a in cast else F.col(a) for a in SOURCE_ATTRIBUTES])
 
 
-def lookup(df: DataFrame, column: str, value) -> DataFrame:
-    """SE9: point lookup; the equality reaches the Parquet scan as a pushed filter."""
-    return df.where(F.col(column) == F.lit(value))
-
-
 # --- SE3 --------------------------------------------------------------------------
 
 @dataclass
 class TextIndex:
-    postings: DataFrame      # term, id, tf, dl
+    postings: DataFrame      # term, id, tf, dl (and bucket, if stored)
     terms: DataFrame         # term, df
     docs: DataFrame          # id, dl
-    id_col: str = "id"
-    buckets: int | None = None
-
-    def stats(self) -> tuple[int, float]:
-        """Corpus size and mean length: one small global aggregate (2 scalars)."""
-        r = self.docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
-        return int(r["n"]), float(r["avgdl"] or 0.0)
-
-
-def _tf_batches(batches, only: list[str] | None = None):
-    """Per Arrow batch: (id, toks) -> (term, id, dl, tf). A document's tokens
-    are all in its own row, so counting inside the batch is exact and needs no
-    shuffle; the count is Arrow's vectorized hash group-by. ``only`` keeps the
-    postings of a given (proven small) term set."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    keep = pa.array(only, pa.string()) if only is not None else None
-    for b in batches:
-        toks = b.column(1)
-        t = pa.table({"row": pc.list_parent_indices(toks), "term": pc.list_flatten(toks)})
-        if keep is not None:
-            t = t.filter(pc.is_in(t.column("term"), value_set=keep))
-        g = t.group_by(["row", "term"]).aggregate([([], "count_all")])
-        rows = g.column("row")
-        out = pa.table({"term": g.column("term"), "id": pc.take(b.column(0), rows),
-                        "dl": pc.take(pc.list_value_length(toks), rows).cast(pa.int32()),
-                        "tf": g.column("count_all")})
-        yield from out.to_batches()
-
-
-def _tf_and_lengths(batches, only: list[str] | None = None):
-    """``_tf_batches`` (for the terms in ``only`` if given), plus one
-    (NULL, id, dl, NULL) row per document: postings and document lengths from
-    a single pass."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    for b in batches:
-        yield from _tf_batches([b], only)
-        n = b.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.string()), b.column(0),
-             pc.list_value_length(b.column(1)).cast(pa.int32()), pa.nulls(n, pa.int64())],
-            names=["term", "id", "dl", "tf"])
-
-
-def postings_and_lengths(docs: DataFrame, id_col: str, text_col: str,
-                         only: list[str] | None = None) -> DataFrame:
-    """One tokenizing pass -> postings (term, id, dl, tf) and, with a NULL
-    term, one length row per document; ``split_postings`` separates them."""
-    tok = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
-    id_type = dict(tok.dtypes)["id"]
-    return tok.mapInArrow(lambda it: _tf_and_lengths(it, only),
-                          f"term string, id {id_type}, dl int, tf bigint")
+    stemmed: bool = False
+
+
+def token_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, toks, dl)"""
+    return (docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
+            .withColumn("dl", F.size("toks")))
+
+
+def term_frequencies(tok: DataFrame, stemmed: bool = False, only: DataFrame | None = None) -> DataFrame:
+    """Postings (term, id, dl, tf) of a token table; ``only`` (term) keeps those
+    of given terms, before they are counted."""
+    rows = tok.select("id", "dl", F.explode("toks").alias("term"))
+    if stemmed:
+        rows = rows.withColumn("term", stem(F.col("term")))
+    if only is not None:
+        rows = rows.join(only, "term", "left_semi")
+    return rows.groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def document_frequencies(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def postings_and_lengths(docs: DataFrame, id_col: str, text_col: str, stemmed: bool = False) -> DataFrame:
+    """Postings (term, id, dl, tf) and, with a NULL term, one length row per
+    document; ``split_postings`` separates them."""
+    tok = token_table(docs, id_col, text_col)
+    lengths = tok.select(F.lit(None).cast("string").alias("term"), "id", "dl",
+                         F.lit(None).cast("long").alias("tf"))
+    return term_frequencies(tok, stemmed).unionByName(lengths)
 
 
 def split_postings(both: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -157,151 +135,74 @@ def split_postings(both: DataFrame) -> tuple[DataFrame, DataFrame]:
             both.where(F.col("term").isNull()).select("id", "dl"))
 
 
-def term_frequencies(tok: DataFrame, only: list[str] | None = None) -> DataFrame:
-    """(id, toks) -> postings (term, id, dl, tf), computed where the rows are."""
-    id_type = dict(tok.dtypes)["id"]
-    fn = _tf_batches if only is None else (lambda it: _tf_batches(it, only))
-    return tok.select("id", "toks").mapInArrow(fn, f"term string, id {id_type}, dl int, tf bigint")
+def build_index(docs: DataFrame, id_col: str, text_col: str, stemmed: bool = False) -> TextIndex:
+    """SE3: postings, document frequencies and lengths, as a plan."""
+    tok = token_table(docs, id_col, text_col)
+    postings = term_frequencies(tok, stemmed)
+    return TextIndex(postings, document_frequencies(postings), tok.select("id", "dl"), stemmed)
 
 
-def tokenize_table(docs: DataFrame, id_col: str, text_col: str, name: str = "tokens") -> DataFrame:
-    """(id, toks, dl) written once to the shared folder: the text is read and
-    tokenized a single time however many steps use the tokens afterwards."""
-    from ..sources.io import materialize
-    tok = (docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
-           .withColumn("dl", F.size("toks")))
-    return materialize(tok, docs.sparkSession, name)
+def bucket(term: str = "term") -> Column:
+    return F.pmod(F.hash(term), F.lit(BUCKETS))
 
 
-def search_batch(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, k: int = 5,
-                 qid: str = "query_id", text: str = "text",
-                 allowed: DataFrame | None = None) -> DataFrame:
-    """SE3 + SE4 for a one-shot batch of queries, without building a full index.
-
-    The (proven small) set of query terms is shipped to the tasks, which
-    tokenize the corpus once and count only those terms' postings in place (no
-    shuffle of postings), together with every document's length; that small
-    result is written once. Document frequencies come from those postings, N
-    and the mean length from the length rows. BM25 scores are identical to a
-    search over the full index.
-    """
-    qt = query_terms(queries, qid, text)
-    terms = [r[0] for r in qt.select("term").distinct().limit(MAX_PRUNE_TERMS + 1).collect()]
-    if len(terms) > MAX_PRUNE_TERMS:
-        # Large query sets: the full postings from a written token table.
-        tok = tokenize_table(docs, id_col, text_col)
-        postings, lengths = term_frequencies(tok), tok.select("id", "dl")
-    else:
-        # One tokenizing pass writes only the query terms' postings and the
-        # document lengths (rows with a NULL term), not every token.
-        from ..sources.io import materialize
-        both = materialize(postings_and_lengths(docs, id_col, text_col, terms),
-                           docs.sparkSession, "postings")
-        postings, lengths = split_postings(both)
-    index = TextIndex(postings, postings.groupBy("term").agg(F.count(F.lit(1)).alias("df")),
-                      lengths)
-    return search(index, queries, k, qid, text, allowed)
-
-
-def build_index(docs: DataFrame, id_col: str, text_col: str) -> TextIndex:
-    """SE3: postings (term, id, dl, tf), document frequencies, doc lengths.
-
-    Postings need no shuffle (see ``term_frequencies``); document frequencies
-    are one ``groupBy(term)`` with map-side partial counts, so a term present in
-    every document is pre-counted per task, never gathered raw in one reducer.
-    """
-    tok = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
-    lengths = tok.select("id", F.size("toks").alias("dl"))
-    postings = term_frequencies(tok)
-    terms = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return TextIndex(postings, terms, lengths, id_col)
-
-
-def write_index(docs: DataFrame, id_col: str, text_col: str, path: str,
-                buckets: int = 64) -> None:
-    """SE3 persisted: tokenize once, then postings partitioned by term bucket
-    (one file per bucket, sorted by term so Parquet min/max statistics skip row
-    groups), document frequencies and document lengths -- each derived from the
-    written token table, never by re-reading the source text.
-
-    Choose ``buckets`` so one bucket is about a gigabyte of postings; a query
-    joins on (bucket, term) and dynamic partition pruning reads only the
-    buckets of its terms.
-    """
-    tok_path = f"{path}/_tokens"
-    (docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"))
-     .withColumn("dl", F.size("toks")).write.mode("overwrite").parquet(tok_path))
-    spark = docs.sparkSession
-    tok = spark.read.parquet(tok_path)
-    tok.select("id", "dl").write.mode("overwrite").parquet(f"{path}/docs")
-    postings = (term_frequencies(tok)
-                .withColumn("bucket", F.pmod(F.hash("term"), F.lit(buckets))))
-    (postings.repartition("bucket").sortWithinPartitions("term")
-     .write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings"))
-    (spark.read.parquet(f"{path}/postings").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-     .write.mode("overwrite").parquet(f"{path}/terms"))
+def write_index(docs: DataFrame, id_col: str, text_col: str, path: str, stemmed: bool = False) -> None:
+    """SE3 stored: append the postings and lengths of ``docs`` to the index at
+    ``path``. Files are per bucket and salt, in order of terms, so row groups can
+    be skipped by term; a hot term's postings are in ``SALTS`` files."""
+    tok = token_table(docs, id_col, text_col)
+    tok.select("id", "dl").write.mode("append").parquet(f"{path}/docs")
+    postings = term_frequencies(tok, stemmed).withColumn("bucket", bucket())
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
+    (postings.repartition(F.col("bucket"), salt).sortWithinPartitions("bucket", "term")
+     .write.mode("append").partitionBy("bucket").parquet(f"{path}/postings"))
+
+
+def load_index(spark: SparkSession, path: str, stemmed: bool = False) -> TextIndex:
+    postings = spark.read.parquet(f"{path}/postings")
+    return TextIndex(postings, document_frequencies(postings), spark.read.parquet(f"{path}/docs"), stemmed)
 
 
 def materialize_index(docs: DataFrame, id_col: str, text_col: str, name: str = "index",
-                      buckets: int = 64) -> TextIndex:
-    """Write the index to a fresh folder of the shared folder and open it: cuts
-    the lineage (a lost executor re-reads files instead of re-tokenizing the
-    corpus) and lets queries prune postings by term bucket."""
+                      stemmed: bool = False) -> TextIndex:
+    """Write an index to a fresh place in the shared folder and open it."""
     from ..session import scratch_path
     path = scratch_path(docs.sparkSession, name)
-    write_index(docs, id_col, text_col, path, buckets)
-    return load_index(docs.sparkSession, path, buckets)
-
+    write_index(docs, id_col, text_col, path, stemmed)
+    return load_index(docs.sparkSession, path, stemmed)
 
-def load_index(spark: SparkSession, path: str, buckets: int = 64) -> TextIndex:
-    return TextIndex(spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/terms"),
-                     spark.read.parquet(f"{path}/docs"), buckets=buckets)
 
+# --- SE4 / SE7 ----------------------------------------------------------------------
 
-def query_terms(queries: DataFrame, qid: str = "query_id", text: str = "text") -> DataFrame:
+def query_terms(queries: DataFrame, qid: str = "query_id", text: str = "text",
+                stemmed: bool = False) -> DataFrame:
     """Distinct terms per query (a term repeated in the query counts once)."""
-    return (queries.select(F.col(qid).alias("query_id"),
-                           F.explode(F.array_distinct(tokens(F.col(text)))).alias("term")))
-
-
-def bm25_scores(index: TextIndex, queries: DataFrame, qid: str = "query_id",
-                text: str = "text", k1: float = K1, b: float = B,
-                stats: tuple[int, float] | None = None) -> DataFrame:
-    """(query_id, id, score) for every document sharing a term with the query."""
-    if stats is not None:
-        n_col, avgdl_col = F.lit(float(stats[0])), F.lit(stats[1] or 1.0)
-    else:
-        # Scalar subqueries: evaluated once inside the same plan, no driver round trip.
-        n_col = index.docs.select(F.count(F.lit(1)).cast("double")).scalar()
-        avgdl_col = index.docs.select(F.avg("dl")).scalar()
-    # The query side is bounded by the query batch, not by the corpus: broadcast
-    # it after a size check, so the postings stream through a hash join (and,
-    # on a bucketed index, only the buckets of the query terms are read).
-    qt = query_terms(queries, qid, text)
-    small = is_small(qt)
-    postings = index.postings
-    if small:
-        # A proven-small term set (at most MAX_PRUNE_TERMS distinct terms) is
-        # also pushed into the postings scan: partition pruning on the term
-        # bucket and an IN filter that skips row groups by term min/max.
-        few = qt.select("term").distinct().limit(MAX_PRUNE_TERMS + 1).collect()
-        if len(few) <= MAX_PRUNE_TERMS:
-            postings = postings.where(F.col("term").isin([r[0] for r in few]))
-    if "bucket" in postings.columns:
-        nb = index.buckets or 64
-        qt = qt.withColumn("bucket", F.pmod(F.hash("term"), F.lit(nb)))
-        keys = ["bucket", "term"]
-    else:
-        keys = ["term"]
+    rows = queries.select(F.col(qid).alias("query_id"), F.explode(tokens(F.col(text))).alias("term"))
+    if stemmed:
+        rows = rows.withColumn("term", stem(F.col("term")))
+    return rows.distinct()
+
+
+def bm25_scores(index: TextIndex, queries: DataFrame, qid: str = "query_id", text: str = "text",
+                k1: float = K1, b: float = B, allowed: DataFrame | None = None) -> DataFrame:
+    """(query_id, id, score) for every document sharing a term with the query and,
+    where ``allowed`` -- (id) or (query_id, id) -- is given, in it."""
+    # Scalar subqueries: evaluated once inside the same plan, no driver round trip.
+    n_col = index.docs.select(F.count(F.lit(1)).cast("double")).scalar()
+    avgdl_col = index.docs.select(F.avg("dl")).scalar()
     idf = F.log(F.lit(1.0) + (n_col - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = (F.broadcast(qt) if small else qt).join(index.terms, "term") \
-        .withColumn("idf", idf).drop("df")
-    if small:
-        weighted = F.broadcast(weighted)
+    weighted = (query_terms(queries, qid, text, index.stemmed).join(index.terms, "term")
+                .withColumn("idf", idf).drop("df"))
+    keys = ["term"]
+    if "bucket" in index.postings.columns:
+        weighted, keys = weighted.withColumn("bucket", bucket()), ["bucket", "term"]
+    hits = weighted.join(index.postings, keys)
+    if allowed is not None:
+        same = ["query_id", "id"] if "query_id" in allowed.columns else ["id"]
+        hits = hits.join(allowed.select(*same), same, "left_semi")
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl_col)
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
-    return (weighted.join(postings, keys)
-            .groupBy("query_id", "id").agg(F.sum(part).alias("score")))
+    return hits.groupBy("query_id", "id").agg(F.sum(part).alias("score"))
 
 
 def top_k(scored: DataFrame, k: int, score: str = "score", group: str = "query_id",
@@ -313,82 +214,47 @@ def top_k(scored: DataFrame, k: int, score: str = "score", group: str = "query_i
 
 
 def search(index: TextIndex, queries: DataFrame, k: int = 5, qid: str = "query_id",
-           text: str = "text", allowed: DataFrame | None = None,
-           stats: tuple[int, float] | None = None) -> DataFrame:
-    """SE4 (+SE7): BM25 top-k per query. ``allowed`` holds the ids that pass
-    the attribute filters -- (id) for all queries or (query_id, id) per query --
-    and is semi-joined to the scored candidates before ranking, so corpus
-    statistics (N, df, avgdl) stay those of the whole index."""
-    scored = bm25_scores(index, queries, qid, text, stats=stats)
-    if allowed is not None:
-        keys = ["query_id", "id"] if "query_id" in allowed.columns else ["id"]
-        scored = scored.join(allowed.select(*keys), keys, "left_semi")
-    return top_k(scored, k)
+           text: str = "text", allowed: DataFrame | None = None) -> DataFrame:
+    """SE4 (+SE7): BM25 top-k per query, among ``allowed`` where given."""
+    return top_k(bm25_scores(index, queries, qid, text, allowed=allowed), k)
 
 
-# --- SE5 / SE6 --------------------------------------------------------------------
+def search_batch(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, k: int = 5,
+                 qid: str = "query_id", text: str = "text") -> DataFrame:
+    """SE3 + SE4 for a one-shot batch of queries: only postings of query terms are
+    counted (a semi-join of the exploded tokens with the terms) and written once,
+    beside every document's length."""
+    from ..sources.io import materialize
+    spark, tok = docs.sparkSession, token_table(docs, id_col, text_col)
+    terms = query_terms(queries, qid, text).select("term").distinct()
+    postings = materialize(term_frequencies(tok, only=terms), spark, "postings")
+    lengths = materialize(tok.select("id", "dl"), spark, "lengths")
+    return search(TextIndex(postings, document_frequencies(postings), lengths), queries, k, qid, text)
 
-MAX_QUERY_VECTORS = 4096
 
+# --- SE5 / SE6 --------------------------------------------------------------------
 
 def cosine_top_k(corpus: DataFrame, id_col: str, vec_col: str, queries: DataFrame,
-                 qid: str, qvec: str, k: int = 5, batch: int = 256,
-                 max_queries: int = MAX_QUERY_VECTORS, _level: int = 0) -> DataFrame:
+                 qid: str, qvec: str, k: int = 5) -> DataFrame:
     """SE5: (query_id, id, score, rank) by cosine similarity, exact.
 
-    Up to ``max_queries`` query vectors (checked by counting at most one more)
-    travel to the tasks as literals, ``batch`` at a time; each corpus row scores
-    against a batch with native higher-order functions and only the top k per
-    query and task leave the task. A larger query set is written once to the
-    shared folder partitioned by a hash chunk of the query id (chunks of about
-    half the bound); each chunk is searched over the whole corpus the same way
-    and appended to a result table, so the driver holds one chunk at a time and
-    the plan stays small. A chunk that hashing made too large is split again.
-    """
-    rows = queries.select(qid, qvec).limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        return _cosine_top_k_chunked(corpus, id_col, vec_col, queries, qid, qvec, k, batch,
-                                     max_queries, _level)
-    if not rows:
-        return corpus.sparkSession.createDataFrame(
-            [], f"query_id {dict(queries.dtypes)[qid]}, id {dict(corpus.dtypes)[id_col]}, "
-                "score double, rank int")
-    qtype = dict(queries.dtypes)[qid]
-    v = F.transform(F.col(vec_col), lambda x: x.cast("double"))
-    base = corpus.select(F.col(id_col).alias("id"), v.alias("v")).withColumn(
-        "vn", F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)))
-    parts = []
-    for start in range(0, len(rows), batch):
-        chunk = rows[start:start + batch]
-        qs = F.array(*[F.struct(F.lit(r[qid]).cast(qtype).alias("query_id"),
-                                F.array(*[F.lit(float(x)) for x in r[qvec]]).alias("q"),
-                                F.lit(math.sqrt(sum(float(x) ** 2 for x in r[qvec]))).alias("qn"))
-                       for r in chunk])
-        s = base.select("id", "v", "vn", F.explode(qs).alias("qq")).select(
-            F.col("qq.query_id").alias("query_id"), "id",
-            (F.aggregate(F.zip_with("qq.q", "v", lambda a, c: a * c), F.lit(0.0),
-                         lambda acc, x: acc + x)
-             / F.nullif(F.col("qq.qn") * F.col("vn"), F.lit(0.0))).alias("score"))
-        parts.append(top_k(s, k))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _cosine_top_k_chunked(corpus, id_col, vec_col, queries, qid, qvec, k, batch,
-                          max_queries, level) -> DataFrame:
-    from ..session import scratch_path
-    spark = corpus.sparkSession
-    n = queries.count()
-    chunks = max(2, math.ceil(2 * n / max_queries))
-    keyed_path, out = scratch_path(spark, "query-vectors"), scratch_path(spark, "cosine-top-k")
-    (queries.select(qid, qvec)
-     .withColumn("__chunk", F.pmod(F.xxhash64(F.col(qid), F.lit(level)), F.lit(chunks)))
-     .write.partitionBy("__chunk").parquet(keyed_path))
-    keyed = spark.read.parquet(keyed_path)
-    for c in range(chunks):
-        part = keyed.where(F.col("__chunk") == c).drop("__chunk")
-        (cosine_top_k(corpus, id_col, vec_col, part, qid, qvec, k, batch, max_queries, level + 1)
-         .write.mode("append").parquet(out))
-    return spark.read.parquet(out)
+    The stated query set is dealt into blocks of about ``VECTOR_BLOCK`` vectors,
+    one row each; every corpus row meets every block once (an equi-join on the
+    block number), scores its vectors with native functions, and only the top k
+    per query and task are shuffled. Both sides stay tables, whatever their size."""
+    blocks = max(1, -(-queries.count() // VECTOR_BLOCK))
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
+    doubles = lambda c: F.transform(F.col(c), lambda x: x.cast("double"))
+    q = queries.select(F.col(qid).alias("query_id"), doubles(qvec).alias("q"))
+    q = (q.withColumns({"qn": norm(F.col("q")), "block": F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")})
+         .groupBy("block").agg(F.collect_list(F.struct("query_id", "q", "qn")).alias("qs")))
+    base = (corpus.select(F.col(id_col).alias("id"), doubles(vec_col).alias("v")).withColumn("vn", norm(F.col("v")))
+            .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    s = base.join(q, "block").select("id", "v", "vn", F.explode("qs").alias("qq")).select(
+        F.col("qq.query_id").alias("query_id"), "id",
+        (F.aggregate(F.zip_with("qq.q", "v", lambda a, c: a * c), F.lit(0.0), lambda acc, x: acc + x)
+         / F.nullif(F.col("qq.qn") * F.col("vn"), F.lit(0.0))).alias("score"))
+    return top_k(s, k)
 
 
 def centroids(df: DataFrame, key: str, vec_col: str, dim: int | None = None) -> DataFrame:

@@ -10,40 +10,46 @@ import re
 
 VIEWS: dict[str, str] = {}
 
-VIEWS["dim_carriers"] = """
-SELECT 'CAR' || LPAD(CAST(s_suppkey AS STRING), 6, '0') AS carrier_id, s_name AS carrier_name,
+
+def pad(key: str, width: int) -> str:
+    """A number with leading zeros up to ``width`` digits; longer ones stay whole."""
+    text = f"CAST({key} AS STRING)"
+    return f"(repeat('0', greatest(0, {width} - length({text}))::BIGINT) || {text})"
+
+VIEWS["dim_carriers"] = f"""
+SELECT 'CAR' || {pad('s_suppkey', 6)} AS carrier_id, s_name AS carrier_name,
   CASE s_suppkey % 4 WHEN 0 THEN 'Express' WHEN 1 THEN 'Standard' WHEN 2 THEN 'Economy' ELSE 'Freight' END AS carrier_type,
   r_name AS service_region, CAST(80 + s_suppkey % 20 AS DOUBLE) / 100 AS on_time_rating, s_suppkey % 10 <> 9 AS active_flag
 FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 WHERE s_suppkey % 25 <> 24
 """
 
-VIEWS["dim_customers"] = """
-SELECT 'CUST' || LPAD(CAST(c_custkey AS STRING), 8, '0') AS customer_id, c_name AS customer_name,
+VIEWS["dim_customers"] = f"""
+SELECT 'CUST' || {pad('c_custkey', 8)} AS customer_id, c_name AS customer_name,
   CASE c_mktsegment WHEN 'BUILDING' THEN 'Enterprise' WHEN 'MACHINERY' THEN 'Enterprise' WHEN 'AUTOMOBILE' THEN 'Mid-Market' ELSE 'SMB' END AS customer_segment,
   n_name AS city, r_name AS state
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 """
 
-VIEWS["fact_orders"] = """
-SELECT 'ORD' || LPAD(CAST(o_orderkey AS STRING), 8, '0') AS order_id, 'CUST' || LPAD(CAST(o_custkey AS STRING), 8, '0') AS customer_id,
+VIEWS["fact_orders"] = f"""
+SELECT 'ORD' || {pad('o_orderkey', 8)} AS order_id, 'CUST' || {pad('o_custkey', 8)} AS customer_id,
   CAST(o_orderdate AS DATE) AS order_date, CAST(o_totalprice AS DECIMAL(18,2)) AS order_value,
   CASE WHEN o_orderstatus = 'F' THEN 'Fulfilled' WHEN o_orderstatus = 'O' THEN 'Processing' WHEN o_orderkey % 2 = 0 THEN 'Cancelled' ELSE 'Returned' END AS order_status,
-  CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Credit Card' WHEN o_orderpriority = '3-MEDIUM' THEN 'UPI' WHEN o_orderpriority = '5-LOW' THEN 'COD' ELSE 'Net Banking' END AS payment_method
+  CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Credit Card' WHEN o_orderpriority = '3-MEDIUM' THEN 'UPI' WHEN o_orderpriority = '5-LOW' THEN 'COD' ELSE 'Net Banking' END AS payment_method, CAST(1 + o_orderkey % 20 AS INTEGER) AS num_items
 FROM orders
 """
 
-VIEWS["line_keyed"] = """
+VIEWS["line_keyed"] = f"""
 SELECT l.*, o.o_custkey, CAST(o.o_orderdate AS DATE) AS o_date, n.n_name AS dest_city, r.r_name AS dest_state,
-  LPAD(CAST(l_orderkey AS STRING), 8, '0') || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(CAST(l_quantity AS INT) AS STRING) || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING) AS k
+  {pad('l_orderkey', 8)} || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(CAST(l_quantity AS INT) AS STRING) || '-' || CAST(CAST(l_shipdate AS DATE) AS STRING) AS k
 FROM lineitem l LEFT JOIN orders o ON l_orderkey = o_orderkey
 LEFT JOIN customer c ON o_custkey = c_custkey LEFT JOIN nation n ON c_nationkey = n_nationkey LEFT JOIN region r ON n_regionkey = r_regionkey
 """
 
-VIEWS["fact_shipments"] = """
-SELECT 'SHP' || k AS shipment_id, 'ORD' || LPAD(CAST(l_orderkey AS STRING), 8, '0') AS order_id,
-  'CUST' || LPAD(CAST(o_custkey AS STRING), 8, '0') AS customer_id, 'CAR' || LPAD(CAST(l_suppkey AS STRING), 6, '0') AS carrier_id,
-  dest_city AS destination_city, o_date AS ship_date, CAST(o_date + INTERVAL 1000 DAY AS DATE) AS expected_delivery_date,
+VIEWS["fact_shipments"] = f"""
+SELECT 'SHP' || k AS shipment_id, 'ORD' || {pad('l_orderkey', 8)} AS order_id,
+  'CUST' || {pad('o_custkey', 8)} AS customer_id, 'CAR' || {pad('l_suppkey', 6)} AS carrier_id,
+  'City ' || CAST(l_suppkey % 25 AS STRING) AS origin_city, dest_city AS destination_city, o_date AS ship_date, CAST(o_date + INTERVAL 1000 DAY AS DATE) AS expected_delivery_date,
   CASE WHEN l_linestatus = 'F' THEN CAST(l_shipdate AS DATE) END AS actual_delivery_date,
   CASE WHEN l_linestatus = 'F' AND l_returnflag = 'R' THEN 'Returned' WHEN l_linestatus = 'F' THEN 'Delivered' WHEN l_returnflag = 'R' THEN 'Exception' ELSE 'In Transit' END AS status,
   l_quantity AS weight_kg, l_linenumber AS num_packages, CAST(l_extendedprice AS DECIMAL(18,2)) AS freight_cost,
@@ -51,12 +57,13 @@ SELECT 'SHP' || k AS shipment_id, 'ORD' || LPAD(CAST(l_orderkey AS STRING), 8, '
 FROM line_keyed
 """
 
-VIEWS["pod_fact"] = """
-SELECT 'POD' || k AS pod_id, 'SHP' || k AS shipment_id, 'ORD' || LPAD(CAST(l_orderkey AS STRING), 8, '0') AS order_id,
-  CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE 'CUST' || LPAD(CAST(o_custkey AS STRING), 8, '0') END AS customer_id,
-  'CAR' || LPAD(CAST(l_suppkey AS STRING), 6, '0') AS carrier_id,
+VIEWS["pod_fact"] = f"""
+SELECT 'POD' || k AS pod_id, 'SHP' || k AS shipment_id, 'ORD' || {pad('l_orderkey', 8)} AS order_id,
+  CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE 'CUST' || {pad('o_custkey', 8)} END AS customer_id,
+  'CAR' || {pad('l_suppkey', 6)} AS carrier_id,
   CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS delivery_date,
-  'Signer ' || CAST(l_partkey % 10 AS STRING) AS signed_by, dest_city AS delivery_city, dest_state AS delivery_state,
+  'Signer ' || CAST(l_partkey % 10 AS STRING) AS signed_by, 'Receiver ' || CAST(l_partkey % 7 AS STRING) AS receiver_name,
+  'Dock ' || CAST(l_linenumber AS STRING) || ', Gate ' || CAST(l_suppkey % 9 AS STRING) AS delivery_address, dest_city AS delivery_city, dest_state AS delivery_state,
   CASE WHEN l_returnflag = 'N' OR (l_returnflag = 'A' AND l_linenumber <= 5) THEN 'Delivered - Clean' WHEN l_returnflag = 'A' THEN 'Partial Delivery'
        WHEN l_linenumber <= 5 THEN 'Delivered - With Exceptions' WHEN l_linenumber = 6 THEN 'Refused' ELSE 'Undeliverable' END AS pod_status,
   l_returnflag = 'R' AS exception_flag,
@@ -69,9 +76,9 @@ SELECT 'POD' || k AS pod_id, 'SHP' || k AS shipment_id, 'ORD' || LPAD(CAST(l_ord
 FROM line_keyed WHERE l_linestatus = 'F'
 """
 
-VIEWS["fact_claims"] = """
-SELECT 'CLM' || k AS claim_id, 'SHP' || k AS shipment_id, 'POD' || k AS pod_id, 'CUST' || LPAD(CAST(o_custkey AS STRING), 8, '0') AS customer_id,
-  'CAR' || LPAD(CAST(l_suppkey AS STRING), 6, '0') AS carrier_id, CAST(l_shipdate AS DATE) AS claim_date,
+VIEWS["fact_claims"] = f"""
+SELECT 'CLM' || k AS claim_id, 'SHP' || k AS shipment_id, 'POD' || k AS pod_id, 'CUST' || {pad('o_custkey', 8)} AS customer_id,
+  'CAR' || {pad('l_suppkey', 6)} AS carrier_id, CAST(l_shipdate AS DATE) AS claim_date,
   CASE l_linenumber WHEN 1 THEN 'Damage' WHEN 2 THEN 'Loss' WHEN 3 THEN 'Shortage' WHEN 4 THEN 'Late Delivery' WHEN 5 THEN 'Wrong Delivery' ELSE 'Missing Signature' END AS claim_type,
   CAST(l_extendedprice AS DECIMAL(18,2)) AS claim_amount,
   CASE WHEN l_suppkey % 10 < 4 THEN 'Resolved' WHEN l_suppkey % 10 < 7 THEN 'Under Review' WHEN l_suppkey % 10 < 9 THEN 'Pending Documentation' ELSE 'Rejected' END AS claim_status,
@@ -80,11 +87,11 @@ SELECT 'CLM' || k AS claim_id, 'SHP' || k AS shipment_id, 'POD' || k AS pod_id,
 FROM line_keyed WHERE l_linestatus = 'F' AND l_returnflag = 'R' AND l_partkey % 5 = 0
 """
 
-VIEWS["pod_extracted"] = """
+VIEWS["pod_extracted"] = f"""
 SELECT pod_file_name AS file_name, pod_file_name AS file_relative_path,
   'PROOF OF DELIVERY' || CHR(10) || '---' || CHR(10) || 'POD Reference: ' || pod_id || CHR(10) || 'Shipment ID: ' || shipment_id || CHR(10) ||
   'Order ID: ' || order_id || CHR(10) || 'Customer ID: ' || COALESCE(customer_id, '') || CHR(10) || 'Carrier: ' || COALESCE(c.carrier_name, p.carrier_id) || CHR(10) ||
-  'Delivery Date: ' || COALESCE(CAST(delivery_date AS STRING), 'not stated') || CHR(10) || 'Signed By: ' || signed_by || CHR(10) ||
+  'Delivery Date: ' || COALESCE(CAST(delivery_date AS STRING), 'not stated') || CHR(10) || 'Signed By: ' || signed_by || CHR(10) || 'Receiver: ' || receiver_name || CHR(10) || 'Address: ' || delivery_address || CHR(10) ||
   'City: ' || COALESCE(delivery_city, '') || CHR(10) || 'State: ' || COALESCE(delivery_state, '') || CHR(10) || 'Status: ' || pod_status || CHR(10) ||
   'Exceptions: ' || COALESCE(exception_notes, '') || CHR(10) ||
   'Signature: ' || CASE WHEN signature_present AND packages_received % 3 = 0 THEN 'TRUE' WHEN signature_present AND packages_received % 3 = 1 THEN 'Yes, signed' WHEN signature_present THEN 'yes' ELSE 'No' END || CHR(10) ||
@@ -95,7 +102,7 @@ SELECT pod_file_name AS file_name, pod_file_name AS file_relative_path,
 FROM pod_fact p LEFT JOIN dim_carriers c ON p.carrier_id = c.carrier_id
 """
 
-VIEWS["review_decisions"] = """
+VIEWS["review_decisions"] = f"""
 SELECT d.doc_id, 'doc_' || CAST(d.doc_id AS STRING) || '.txt' AS file_name,
   CASE WHEN l.toxic = 1 THEN 'REJECTED' WHEN l.quality = 1 THEN 'APPROVED' ELSE 'FLAGGED' END AS review_status,
   d.lang AS ai_lang, CASE WHEN l.quality = 1 AND d.doc_id % 4 = 0 THEN UPPER(d.lang) ELSE d.lang END AS final_lang,

@@ -5,8 +5,9 @@ from __future__ import annotations
 from ..sources import fixtures as fx
 from .semantic import LogicalTable, Metric, Model, Relationship
 
-RATE = "ROUND(100.0 * SUM(CASE WHEN {c} THEN 1 ELSE 0 END) / NULLIF(COUNT(*), 0), 2)"
-RATE_FINAL = "ROUND(100.0 * SUM({num}) / NULLIF(SUM({den}), 0), 2)"
+def percent(num: str, den: str) -> str:
+    """A share in percent with two decimals; NULL when the denominator is 0."""
+    return f"round(100.0 * ({num}) / nullif({den}, 0), 2)"
 
 
 def count_of(c: str) -> Metric:
@@ -18,17 +19,17 @@ def sum_of(c: str) -> Metric:
 
 
 def flag_sum(cond: str) -> Metric:
-    e = f"SUM(CASE WHEN {cond} THEN 1 ELSE 0 END)"
-    return Metric(e, "long", {"s": e}, "SUM({s})")
+    return Metric(f"count_if({cond})", "long", {"n": f"count_if({cond})"}, "SUM({n})")
 
 
 def rate_of(flag: str) -> Metric:
-    return Metric(RATE.format(c=flag), "double",
-                  {"num": f"SUM(CASE WHEN {flag} THEN 1 ELSE 0 END)", "den": "COUNT(*)"},
-                  RATE_FINAL)
+    parts = {"num": f"count_if({flag})", "den": "count(*)"}
+    return Metric(percent(parts["num"], parts["den"]), "double", parts, percent("sum({num})", "sum({den})"))
+
 
 # The sample values declared in the reference model, per column.
 SAMPLE_VALUES = {
+    ("SHIPMENTS", "origin_city"): ["Mumbai", "Chennai", "Delhi", "Bangalore", "Pune"],
     ("SHIPMENTS", "destination_city"): ["Mumbai", "Chennai", "Delhi", "Hyderabad", "Kolkata"],
     ("SHIPMENTS", "status"): ["Delivered", "In Transit", "Out for Delivery", "Exception", "Returned"],
     ("ORDERS", "order_status"): ["Fulfilled", "Processing", "Cancelled", "Returned"],
@@ -48,7 +49,7 @@ def logistics_model() -> Model:
     tables = {
         "SHIPMENTS": LogicalTable(
             "SHIPMENTS", fx.fact_shipments, ["shipment_id"],
-            ["shipment_id", "order_id", "customer_id", "carrier_id", "destination_city", "status",
+            ["shipment_id", "order_id", "customer_id", "carrier_id", "origin_city", "destination_city", "status",
              "is_on_time", "ship_date", "expected_delivery_date", "actual_delivery_date"],
             ["weight_kg", "num_packages", "freight_cost"],
             {"TOTAL_SHIPMENTS": count_of("shipment_id"),
@@ -58,7 +59,7 @@ def logistics_model() -> Model:
         "ORDERS": LogicalTable(
             "ORDERS", fx.fact_orders, ["order_id"],
             ["order_id", "customer_id", "order_status", "payment_method", "order_date"],
-            ["order_value"],
+            ["order_value", "num_items"],
             {"TOTAL_ORDERS": count_of("order_id"),
              "TOTAL_ORDER_VALUE": sum_of("order_value")},
             _samples("ORDERS"), prunable=False),

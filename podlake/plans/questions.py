@@ -6,6 +6,8 @@ model. Parameters (a customer name, a city, a shipment id) are arguments.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,12 +81,13 @@ def vq_claim_resolution(t) -> DataFrame:
 
 
 def vq_damaged_for_customer(t, customer_name: str) -> DataFrame:
-    """VQ10: damaged PODs of one customer. The name filter runs on the customer
-    dimension first, so the join carries only that customer's key."""
+    """VQ10: damaged PODs of one customer. The customer's key picks its orders and
+    these pick their lines, so no join carries other customers' rows."""
     cust = fx.dim_customers(t).where(F.col("customer_name") == customer_name) \
         .select("customer_id", "customer_name")
     pods = fx.pod_fact(t, ["pod_id", "shipment_id", "customer_id", "delivery_date",
-                           "damage_reported", "damage_description"]).where(F.col("damage_reported"))
+                           "damage_reported", "damage_description"],
+                       lineitem=fx.lines_of_customer(t, customer_name)).where(F.col("damage_reported"))
     return (pods.join(cust, "customer_id")
             .select("pod_id", "shipment_id", "customer_name", "delivery_date", "damage_description")
             .orderBy(F.desc_nulls_first("delivery_date"), "pod_id"))
@@ -100,9 +103,11 @@ def vq_missing_sig_city(t, city: str) -> DataFrame:
 
 
 def vq_pod_for_shipment(t, shipment_id: str) -> DataFrame:
-    """VQ12 / SE9: point lookup; the equality filter is pushed into the scan."""
+    """VQ12 / SE9: point lookup. The id names six raw columns of one line, which
+    filter the scan; the joins then carry that row only."""
     from ..operators.search import build_corpus
-    corpus = build_corpus(fx.pod_fact(t), fx.dim_customers(t), fx.dim_carriers(t))
+    pods = fx.pod_fact(t, where=fx.line_of(shipment_id))
+    corpus = build_corpus(pods, fx.dim_customers(t), fx.dim_carriers(t))
     return (corpus.where(F.col("shipment_id") == shipment_id)
             .select("pod_id", "shipment_id", "order_id", "customer_name", "carrier_name",
                     "delivery_date", "pod_status", "signed_by"))
@@ -136,3 +141,48 @@ def domain_check(t) -> DataFrame:
         df = lt.source(t, columns=[column]) if lt.prunable else lt.source(t).select(column)
         checks.append((table, column, df, samples))
     return _domain_check(checks)
+
+
+def vq_orders_by_segment(t) -> DataFrame:
+    """Orders and their value per customer segment and status (ORDERS -> CUSTOMERS)."""
+    return metric_query(M, t, ["TOTAL_ORDERS", "TOTAL_ORDER_VALUE"], ["customer_segment", "order_status"])
+
+
+def vq_shipments_by_segment(t) -> DataFrame:
+    """SHIPMENTS -> CUSTOMERS."""
+    return metric_query(M, t, ["TOTAL_SHIPMENTS", "ON_TIME_DELIVERY_RATE"], ["customer_segment"])
+
+
+def vq_claims_by_segment(t) -> DataFrame:
+    """CLAIMS -> CUSTOMERS."""
+    return metric_query(M, t, ["TOTAL_CLAIMS", "TOTAL_CLAIM_AMOUNT"], ["customer_segment"])
+
+
+def vq_damage_rate_by_carrier_type(t) -> DataFrame:
+    """DAMAGE_RATE per carrier type, with the PODs it is a share of."""
+    return metric_query(M, t, ["DAMAGE_RATE", "TOTAL_PODS"], ["carrier_type"])
+
+
+def vq_shipments_by_grain(t) -> DataFrame:
+    """SM3: every other time grain of SHIP_DATE (day, week, quarter, year)."""
+    parts = [metric_query(M, t, ["TOTAL_SHIPMENTS"], [f"ship_date:{g} as period"])
+             .select(F.lit(g).alias("grain"), "period", "total_shipments") for g in ("day", "week", "quarter", "year")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def orphan_report(t) -> DataFrame:
+    """JN10: per declared relation the fact rows without a matching dimension row;
+    NULL keys are counted apart."""
+    parts = []
+    for r in M.relationships:
+        left, right = M.tables[r.left], M.tables[r.right]
+        source = left.source(t, columns=[r.left_column]) if left.prunable else left.source(t).select(r.left_column)
+        keys = source.groupBy(F.col(r.left_column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        dim = right.source(t).select(F.col(r.right_column).alias("k")).withColumn("known", F.lit(True))
+        j = keys.join(dim, "k", "left")
+        parts.append(j.agg(
+            F.coalesce(F.sum(F.when(F.col("k").isNotNull() & F.col("known").isNull(), F.col("n"))), F.lit(0))
+            .cast("long").alias("orphan_rows"),
+            F.coalesce(F.sum(F.when(F.col("k").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("null_rows"))
+            .select(F.lit(r.name).alias("relation"), "orphan_rows", "null_rows"))
+    return reduce(DataFrame.unionByName, parts)

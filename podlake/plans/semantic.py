@@ -64,6 +64,10 @@ class Model:
     relationships: list[Relationship]
 
     # -- SM1 --------------------------------------------------------------------
+    def check_sources(self, t) -> "Model":
+        """Hold every table's columns against those its source really has."""
+        return self.validate({n: x.source(t).columns for n, x in self.tables.items()})
+
     def validate(self, schemas: dict[str, list[str]] | None = None) -> "Model":
         """Reject unknown tables/columns, duplicate names, missing keys, bad relations."""
         for t in self.tables.values():
@@ -142,8 +146,9 @@ def metric_query(model: Model, t, metrics: list[str], dims: list[str] = (),
                  extra_aggs: dict[str, Column] | None = None) -> DataFrame:
     """SM2: metrics of one fact grouped by dimensions of the fact or its dims.
 
-    ``where`` may reference fact columns (listed in ``where_columns`` so they are
-    kept after pruning) or joined dimension columns by their plain name.
+    ``where`` may name fact columns or joined dimension columns; the fact columns
+    it names are kept. A filter on fact columns alone is applied to the fact before
+    anything else. ``where_columns`` are further fact columns that ``extra_aggs`` use.
     """
     if not metrics:
         raise ModelError("no metrics")
@@ -158,11 +163,18 @@ def metric_query(model: Model, t, metrics: list[str], dims: list[str] = (),
     rels = [model.relation(base, j) for j in joins]
     need |= {r.left_column for r in rels}
     need |= set(where_columns)
+    own = bt.dimensions + bt.facts
+    named = {c for c in own if where is not None and _mentions(str(where), c)}
+    others = [c for r in rels for c in model.tables[r.right].dimensions + model.tables[r.right].facts]
+    fact_only = named and not any(_mentions(str(where), c) for c in others if c not in own)
+    need |= named
     for m in metrics:
         need |= {c for c in bt.dimensions + bt.facts if _mentions(bt.metrics[m].expr, c)}
     cols = [c for c in bt.dimensions + bt.facts if c in need]
     df = bt.source(t, columns=cols) if bt.prunable else bt.source(t).select(*cols)
-    eager = (rels and not extra_aggs and not where_columns
+    if fact_only:
+        df, where = df.where(where), None
+    eager = (rels and not extra_aggs and (where is None or not named)
              and all(bt.metrics[m].partials for m in metrics))
     if eager:
         return _eager(model, t, bt, df, metrics, parsed, rels, where, order, limit)

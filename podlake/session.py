@@ -9,12 +9,10 @@ for every dimension whose row count grows with the data.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Runtime settings applied to every session we build. Values are conservative
 # for a large cluster: 64 MB advisory partitions, skew split at 5x the median.
@@ -83,64 +81,43 @@ LOCAL_CONF = {
 }
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row work enough tasks.
-
-    A scan of a few large files (or one Parquet row group) yields fewer splits
-    than the cluster has cores; then, and only then, rows are spread round-robin.
-    A 100 TB input already has thousands of splits and is left untouched, so
-    no shuffle is added at scale.
-    """
+def spread(df: DataFrame) -> DataFrame:
+    """Local runs only: the test tables are one Parquet row group each, so a
+    CPU-heavy per-row step would run in one task. On a cluster the scan's own
+    splits are used as they are and no shuffle is added."""
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+    if spark.sparkContext.master.startswith("local["):
+        return df.repartition(spark.sparkContext.defaultParallelism)
     return df
 
 
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Prove a join side small before broadcasting it: count at most
-    ``max_rows + 1`` of its rows (one cheap job over that side only)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only under the proven bound; beyond it the DataFrame is
-    returned unhinted and Spark uses a shuffle join (with AQE skew splitting)."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Apply the SQL runtime settings to a session someone else built."""
+    """Give a session that someone else built the SQL settings it has no value
+    for; what an operator has set stays."""
     conf = dict(CLUSTER_CONF)
     if spark.sparkContext.master.startswith("local"):
         conf.update(LOCAL_CONF)
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf on a shared session: keep theirs
-                pass
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
     set_initial_partitions(spark)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for checkpoints and hand-over tables.
-
-    Read from ``spark.checkpoint.dir``; only when the session has none (tests,
-    local runs) do we create a private scratch folder and register it.
-    """
+    """The cluster's shared folder for checkpoints and hand-over tables: what
+    ``spark.checkpoint.dir`` names, or the folder set on the context. Where there
+    is neither, a local run (tests) gets a private folder; a cluster is refused,
+    since each of its machines would write to its own disk."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        d = held.get() if held.isDefined() else None
+    if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="podlake-")
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:
-        pass
     return d
 
 
@@ -148,12 +125,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused sub-folder of the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(p: str) -> bool:
-    return "://" not in p or p.startswith("file:")
-
-
-def ensure_parent(p: str) -> None:
-    if is_local_path(p):
-        os.makedirs(os.path.dirname(p.replace("file:", "")) or ".", exist_ok=True)

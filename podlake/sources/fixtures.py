@@ -16,10 +16,12 @@ every scale (fixed by the TPC-H schema), so they are broadcast explicitly.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import padded_id
+from ..functions.columns import padded, padded_id
 from .tables import Tables
 
 NL = "\n"
@@ -76,6 +78,7 @@ def fact_orders(t: Tables) -> DataFrame:
          .when(key % 2 == 0, "Cancelled").otherwise("Returned").alias("order_status"),
         F.when(pr.isin("1-URGENT", "2-HIGH"), "Credit Card").when(pr == "3-MEDIUM", "UPI")
          .when(pr == "5-LOW", "COD").otherwise("Net Banking").alias("payment_method"),
+        (F.lit(1) + key % 20).cast("int").alias("num_items"),
     )
 
 
@@ -84,7 +87,7 @@ def fact_orders(t: Tables) -> DataFrame:
 def _line_key() -> Column:
     s = lambda c: F.col(c).cast("string")
     return F.concat(
-        F.lpad(s("l_orderkey"), 8, "0"), F.lit("-"), s("l_partkey"), F.lit("-"),
+        padded("l_orderkey", 8), F.lit("-"), s("l_partkey"), F.lit("-"),
         s("l_suppkey"), F.lit("-"), s("l_linenumber"), F.lit("-"),
         F.col("l_quantity").cast("int").cast("string"), F.lit("-"),
         F.col("l_shipdate").cast("date").cast("string"))
@@ -153,6 +156,7 @@ def shipment_exprs() -> dict[str, tuple[Column, set[str]]]:
         "order_id": (_order_id(), set()),
         "customer_id": (_cust_id(), {"o_custkey"}),
         "carrier_id": (_car_id(), set()),
+        "origin_city": (F.concat(F.lit("City "), (F.col("l_suppkey") % 25).cast("string")), set()),
         "destination_city": (F.col("dest_city"), {"dest_city"}),
         "ship_date": (F.col("o_date"), {"o_date"}),
         "expected_delivery_date": (F.date_add("o_date", 1000), {"o_date"}),
@@ -184,6 +188,9 @@ def pod_exprs() -> dict[str, tuple[Column, set[str]]]:
         "delivery_date": (F.when(pk % 97 == 0, F.lit(None).cast("date"))
                           .otherwise(F.col("l_shipdate").cast("date")), set()),
         "signed_by": (F.concat(F.lit("Signer "), (pk % 10).cast("string")), set()),
+        "receiver_name": (F.concat(F.lit("Receiver "), (pk % 7).cast("string")), set()),
+        "delivery_address": (F.concat(F.lit("Dock "), ln.cast("string"), F.lit(", Gate "),
+                                      (F.col("l_suppkey") % 9).cast("string")), set()),
         "delivery_city": (F.col("dest_city"), {"dest_city"}),
         "delivery_state": (F.col("dest_state"), {"dest_state"}),
         "pod_status": (F.when((rf == "N") | ((rf == "A") & (ln <= 5)), "Delivered - Clean")
@@ -205,14 +212,37 @@ def pod_exprs() -> dict[str, tuple[Column, set[str]]]:
 
 
 POD_COLUMNS = ["pod_id", "shipment_id", "order_id", "customer_id", "carrier_id", "delivery_date",
-               "signed_by", "delivery_city", "delivery_state", "pod_status", "exception_flag",
-               "exception_notes", "signature_present", "damage_reported", "damage_description",
+               "signed_by", "receiver_name", "delivery_address", "delivery_city", "delivery_state",
+               "pod_status", "exception_flag", "exception_notes", "signature_present", "damage_reported", "damage_description",
                "partial_delivery", "packages_received", "packages_expected", "pod_file_name"]
 
 
-def pod_fact(t: Tables, columns=None, lineitem: DataFrame | None = None) -> DataFrame:
-    """POD_FACT rows: delivered lines only (the filter is pushed to the scan)."""
-    return _build(t, pod_exprs(), columns, F.col("l_linestatus") == "F", lineitem)
+def pod_fact(t: Tables, columns=None, lineitem: DataFrame | None = None,
+             where: Column | None = None) -> DataFrame:
+    """POD_FACT rows: delivered lines only; that filter and ``where`` (on raw
+    lineitem columns) are pushed to the scan."""
+    delivered = F.col("l_linestatus") == "F"
+    return _build(t, pod_exprs(), columns, delivered if where is None else delivered & where, lineitem)
+
+
+def line_of(key_id: str) -> Column:
+    """The raw lineitem columns that a printed id such as a shipment id names, as
+    a filter that reaches the scan; no row for a text that is no such id."""
+    m = re.fullmatch(r"[A-Z]{3}([0-9]+)-([0-9]+)-([0-9]+)-([0-9]+)-([0-9]+)-([0-9]{4}-[0-9]{2}-[0-9]{2})", key_id)
+    if not m:
+        return F.lit(False)
+    order, part, supplier, line, quantity, day = m.groups()
+    return ((F.col("l_orderkey") == int(order)) & (F.col("l_partkey") == int(part))
+            & (F.col("l_suppkey") == int(supplier)) & (F.col("l_linenumber") == int(line))
+            & (F.col("l_quantity") >= int(quantity)) & (F.col("l_quantity") < int(quantity) + 1)
+            & (F.col("l_shipdate").cast("date") == F.lit(day).cast("date")))
+
+
+def lines_of_customer(t: Tables, customer_name: str) -> DataFrame:
+    """Lineitem rows of one customer: customer, then its orders, then their lines."""
+    mine = t.customer.where(F.col("c_name") == customer_name).select("c_custkey")
+    orders = t.orders.join(mine, t.orders["o_custkey"] == mine["c_custkey"], "left_semi").select("o_orderkey")
+    return t.lineitem.join(orders, t.lineitem["l_orderkey"] == orders["o_orderkey"], "left_semi")
 
 
 def claim_exprs() -> dict[str, tuple[Column, set[str]]]:

@@ -110,12 +110,19 @@ def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> bool
     return True
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path or path.startswith("file:"):
-        return os.path.exists(path.replace("file:", ""))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.getFileStatus(p).isDirectory()
 
 
 def materialize(df: DataFrame, spark: SparkSession, name: str,

@@ -40,7 +40,7 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(self.path(name))
+            self._cache[name] = read_table(self.spark, self.path(name))
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -49,11 +49,6 @@ class Tables:
         raise AttributeError(name)
 
 
-_TABLES: dict[tuple[int, str], Tables] = {}
-
-
 def tables(spark: SparkSession, root: str) -> Tables:
-    key = (id(spark), root.rstrip("/"))
-    if key not in _TABLES:
-        _TABLES[key] = Tables(spark, root)
-    return _TABLES[key]
+    """Fresh handles: a long session sees files that were added since."""
+    return Tables(spark, root)

@@ -1,42 +1,15 @@
-"""Generators (SRC5-SRC8), literal dims (SRC4) and table sinks (SNK1-SNK5)."""
+"""Literal dims (SRC4) and table sinks (SNK1-SNK5)."""
 
-import datetime as dt
 import os
 
-from pyspark.sql import functions as F
-
 from conftest import SF_SMALL
 from podlake import schemas
 from podlake.session import scratch_path
-from podlake.sources import generate as G
-from podlake.sources import io
-
-AS_OF = dt.date(2025, 1, 1)
-
-
-def test_generators_counts_keys_and_determinism(spark):
-    s = G.generate_shipments(spark, 500, seed=7, as_of=AS_OF)
-    assert s.count() == 500 and s.select("shipment_id").distinct().count() == 500
-    a = s.drop("created_at").collect()
-    b = G.generate_shipments(spark, 500, seed=7, as_of=AS_OF).drop("created_at").collect()
-    assert a == b
-    assert G.generate_orders(spark, as_of=AS_OF).count() == 500
-    pods = G.generate_pods(spark, as_of=AS_OF)
-    assert pods.count() == 400 and pods.where(F.col("pod_text_content").isNull()).count() == 0
-    assert G.generate_claims(spark, as_of=AS_OF).count() == 80
-
-
-def test_case_chain_redraws_per_branch(spark):
-    """T1: 'Delivered' ~70%, 'In Transit' ~ 0.3 * 0.85 = 25.5%, not 15%."""
-    s = G.generate_shipments(spark, 40000, seed=11, as_of=AS_OF)
-    shares = {r.status: r["count"] / 40000 for r in s.groupBy("status").count().collect()}
-    assert abs(shares["Delivered"] - 0.70) < 0.02
-    assert abs(shares["In Transit"] - 0.255) < 0.02
-
+from podlake.sources import io, literals
 
 def test_literal_dims(spark):
-    assert G.literal_carriers(spark).count() == 8
-    c = G.literal_customers(spark)
+    assert literals.literal_carriers(spark).count() == 8
+    c = literals.literal_customers(spark)
     assert c.count() == 10 and dict(c.dtypes)["created_at"] == "timestamp_ntz"
 
 

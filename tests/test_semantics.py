@@ -111,11 +111,103 @@ def test_parse_empty_is_error_row(spark):
     assert r[2].raw_text == "a & b\nc" and r[2].page_count == 1 and r[2].error_info is None
 
 
-def test_clip_text(spark):
-    df = spark.createDataFrame([("x" * 20,), ("y",)], "t string")
-    r = doc.clip_text(df, "t", n=5).collect()
-    assert r[0].t == "xxxxx" and r[0].t_truncated and r[0].t_chars == 20
-    assert r[1].t == "y" and not r[1].t_truncated
+def test_text_chunks_keep_everything(spark):
+    df = spark.createDataFrame([(1, "abcdefghijkl"), (2, "y"), (3, None), (4, ""), (5, "abcde")], "id int, t string")
+    rows = doc.text_chunks(df, "t", n=5).orderBy("id", "chunk_no").collect()
+    assert [(r.id, r.chunk_no, r.t) for r in rows] == [(1, 0, "abcde"), (1, 1, "fghij"), (1, 2, "kl"), (2, 0, "y"),
+                                                       (3, 0, None), (4, 0, ""), (5, 0, "abcde")]
+    assert [(r.t_chars, r.t_chunks) for r in rows if r.chunk_no == 0] == [(12, 3), (1, 1), (None, 1), (0, 1), (5, 1)]
+
+
+def test_typed_pods_keep_long_texts(spark):
+    df = spark.createDataFrame([("POD Reference: P\n" + "x" * 20_000, "f")], "raw_text string, file_name string")
+    r = one(doc.to_pod_fact(doc.extract_fields(df, "raw_text")))
+    assert len(r.pod_text_content) == 20_017
+
+
+def test_long_keys_stay_distinct(spark):
+    df = spark.createDataFrame([(1,), (1234567,), (123456, ), (123456789,), (12345678,)], "k long")
+    ids = [r[0] for r in df.select(C.padded_id("CAR", "k", 6)).collect()]
+    assert ids == ["CAR000001", "CAR1234567", "CAR123456", "CAR123456789", "CAR12345678"]
+
+
+def test_html_keeps_title_and_decodes_all_references(spark):
+    from podlake.functions.text import html_to_text
+    html = ("<html><head><title>Invoice 42</title><style>p{}</style></head><body><p>a &mdash; b &#8217;c&#x2014; "
+            "&amp;lt; &lt;x&gt; &nosuch; &#0; &eacute; &#38;amp; R&D &nbsp;end</p></body></html>")
+    df = spark.createDataFrame([(html,), (None,)], "h string")
+    rows = [r[0] for r in df.select(html_to_text(F.col("h"))).collect()]
+    assert rows == ["Invoice 42\na — b ’c— &lt; <x> &nosuch; \ufffd é &amp; R&D end", None]
+
+
+def test_stem_joins_word_forms(spark):
+    from podlake.functions.text import stem
+    words = ["deliveries", "delivery", "delivered", "deliver", "damaged", "damage", "packages", "package", "address",
+             "missing", "is", "x1s", "shipping"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = dict(zip(words, [r[0] for r in df.select(stem(F.col("w"))).collect()]))
+    assert got["deliveries"] == got["delivery"] and got["delivered"] == got["deliver"]
+    assert got["damaged"] == got["damage"] and got["packages"] == got["package"]
+    assert got["address"] == "address" and got["is"] == "is" and got["x1s"] == "x1s"
+
+
+def test_smoke_question_finds_damaged_pods(spark):
+    from podlake.catalog import QUERIES
+    hits = [r for r in QUERIES["bm25_filtered"](spark, "/root/testdata/sf0.01").collect() if r.query_id == 1]
+    assert len(hits) == 5 and all(r.customer_name or r.carrier_name for r in hits)
+
+
+def test_lookup_filters_reach_the_scan(spark, t_small):
+    key = "SHP00000001-1304-36-7-34-1996-02-04"
+    df = fx.pod_fact(t_small, ["pod_id"], where=fx.line_of(key))
+    plan = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "EqualTo(l_orderkey,1)" in plan and "EqualTo(l_partkey,1304)" in plan
+    assert fx.pod_fact(t_small, ["pod_id"], where=fx.line_of("no such id")).count() == 0
+
+
+def test_vectors_meet_in_blocks(spark, monkeypatch):
+    import random
+    r = random.Random(1)
+    rows = [(i, [r.random() for _ in range(4)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    q = df.select(F.col("id").alias("q"), F.col("v").alias("qv"))
+    one_block = sorted(map(tuple, search.cosine_top_k(df, "id", "v", q, "q", "qv", k=3).collect()))
+    monkeypatch.setattr(search, "VECTOR_BLOCK", 7)
+    assert sorted(map(tuple, search.cosine_top_k(df, "id", "v", q, "q", "qv", k=3).collect())) == one_block
+    assert len(one_block) == 120 and search.cosine_top_k(df, "id", "v", q.limit(0), "q", "qv").count() == 0
+
+
+def test_stored_index_takes_batches(spark):
+    from podlake.session import scratch_path
+    path = scratch_path(spark, "two-batches")
+    docs = spark.createDataFrame([(i, f"word{i % 3} damaged box") for i in range(12)], "id long, t string")
+    for part in (docs.where("id < 5"), docs.where("id >= 5")):
+        search.write_index(part, "id", "t", path, stemmed=True)
+    q = spark.createDataFrame([(1, "word1 damages")], "query_id int, text string")
+    stored = search.search(search.load_index(spark, path, stemmed=True), q, k=6)
+    plain = search.search(search.build_index(docs, "id", "t", stemmed=True), q, k=6)
+    cols = ["query_id", "rank", "id", "score"]
+    assert sorted(stored.select(*cols).collect()) == sorted(plain.select(*cols).collect()) and stored.count() == 6
+
+
+def test_cluster_without_shared_folder_is_refused(spark, monkeypatch):
+    from podlake import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Sc:
+        master = "spark://host:7077"
+        _jsc = spark.sparkContext._jsc
+
+    class Session:
+        conf, sparkContext = Conf(), Sc()
+
+    held = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if held.isEmpty():
+        with pytest.raises(RuntimeError):
+            session.shared_dir(Session())
 
 
 def test_corpus_text_never_null_and_one_row_per_pod(spark, t_small):
@@ -188,8 +280,8 @@ def test_written_index_gives_same_hits(spark, t_small):
     q = t_small.benchmark.select(F.col("item_id").alias("query_id"), "text")
     lazy = search.search(search.build_index(docs, "doc_id", "text"), q, k=5)
     path = scratch_path(spark, "test-index")
-    search.write_index(docs, "doc_id", "text", path, buckets=8)
-    stored = search.search(search.load_index(spark, path, buckets=8), q, k=5)
+    search.write_index(docs, "doc_id", "text", path)
+    stored = search.search(search.load_index(spark, path), q, k=5)
     key = ["query_id", "rank", "id", "score"]
     assert sorted(lazy.select(*key).collect()) == sorted(stored.select(*key).collect())
 
@@ -202,20 +294,6 @@ def test_cosine_top_k_exact(spark):
     assert [h.id for h in hits] == [1, 3]
 
 
-def test_cosine_top_k_chunked_equals_single_batch(t_small):
-    """A query set above the bound is searched chunk by chunk with the same hits:
-    30 embedding rows as queries against the whole embedding table, bound 4."""
-    emb = t_small.embeddings
-    q = emb.orderBy("vec_id").limit(30).select(F.col("vec_id").alias("qid"),
-                                                F.col("embedding").alias("qv"))
-    one_pass = search.cosine_top_k(emb, "vec_id", "embedding", q, "qid", "qv", k=3)
-    chunked = search.cosine_top_k(emb, "vec_id", "embedding", q, "qid", "qv", k=3,
-                                  max_queries=4)
-    key = ["query_id", "rank", "id", "score"]
-    assert chunked.count() == 90
-    assert sorted(one_pass.select(*key).collect()) == sorted(chunked.select(*key).collect())
-
-
 def test_rrf_fuses(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "query_id int, id int, rank int")
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id int, id int, rank int")

@@ -6,9 +6,12 @@ import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from podlake import schemas
+from podlake.operators import documents as doc
 from podlake.oracle.compare import compare, duck
 from podlake.session import scratch_path
 from podlake.sources import fixtures as fx
+from podlake.sources import io
 from podlake.sources.tables import tables
 from podlake.streaming import pipeline as P
 
@@ -36,15 +39,9 @@ def test_chained_pipeline_incremental(spark):
     for upto in (1, 2, 3, 3):
         _land(SF_SMALL, land, "lineitem", 3, upto)
         li = spark.readStream.schema(schema).parquet(land)
-        pods = fx.pod_fact(t, ["pod_id", "shipment_id", "order_id", "customer_id", "carrier_id",
-                               "delivery_date", "signed_by", "delivery_city", "delivery_state",
-                               "pod_status", "exception_notes", "signature_present",
-                               "damage_description", "partial_delivery", "packages_received",
-                               "packages_expected", "pod_file_name"], lineitem=li)
-        from podlake.operators import documents as doc
-        from podlake.sources import io
+        pods = fx.pod_fact(t, doc.POD_TEXT_INPUTS, lineitem=li)
         src = io.conform(doc.render_pod_text(pods, fx.dim_carriers(t)),
-                         __import__("podlake.schemas", fromlist=["x"]).POD_EXTRACTED)
+                         schemas.POD_EXTRACTED)
         _, fact = P.run_pipeline(src, work)
     out = spark.read.parquet(fact)
     cols = [c for c in entry.queries()["pod_extract_typed"](spark, SF_SMALL).columns]
@@ -69,14 +66,71 @@ def test_watch_files_registry(spark):
     assert [r.file_size for r in rows] == [1, 2, 3] and not any(r.processed for r in rows)
 
 
-def test_windowed_counts_drop_late_state(spark):
-    """ST8: windows are final once emitted; totals never exceed the input."""
-    wd = scratch_path(spark, "win")
-    P.run(P.windowed_counts(P.table_stream(spark, SF_SMALL, "events")), f"{wd}/o", f"{wd}/c")
-    out = spark.read.parquet(f"{wd}/o")
-    assert out.groupBy("window_start").count().where("count > 1").count() == 0
-    total = out.agg(F.sum("events")).first()[0]
-    assert 0 < total <= tables(spark, SF_SMALL).events.count()
+def _layouts(tmp_path):
+    """The same events as one file, as 6 files in time order and as 6 shuffled ones."""
+    import numpy as np
+    t = pq.read_table(f"{SF_SMALL}/events.parquet")
+    n = t.num_rows
+    orders = {"one": (np.arange(n), 1), "ordered": (np.argsort(t["ts"].to_numpy(), kind="stable"), 6),
+              "shuffled": (np.random.default_rng(0).permutation(n), 6)}
+    for name, (order, parts) in orders.items():
+        folder = f"{tmp_path}/{name}/events.parquet"
+        os.makedirs(folder)
+        for k, rows in enumerate(np.array_split(order, parts)):
+            pq.write_table(t.take(rows), f"{folder}/part-{k}.parquet")
+        yield f"{tmp_path}/{name}"
+
+
+def test_windows_do_not_depend_on_file_layout(spark, tmp_path):
+    """ST8: every event counts in its window, one file per micro-batch or not; what
+    came late is reported."""
+    results, late = [], {}
+    for root in _layouts(tmp_path):
+        w = P.windowed_counts(P.table_stream(spark, root, "events", max_files_per_trigger=1), P.workdir(spark, "win"))
+        rows = w.collect()
+        results.append(sorted((r.window_start, r.window_end, r.events, r.errors) for r in rows))
+        late[os.path.basename(root)] = sum(r.late for r in rows)
+    assert results[0] == results[1] == results[2]
+    assert sum(r[2] for r in results[0]) == tables(spark, SF_SMALL).events.count()
+    assert late["one"] == late["ordered"] == 0 < late["shuffled"]
+
+
+def test_distinct_keys_do_not_depend_on_file_layout(spark, tmp_path):
+    """ST7: the same keys as DISTINCT over the whole table."""
+    want = sorted(map(tuple, tables(spark, SF_SMALL).events.select("user_id", "event_type").distinct().collect()))
+    for root in _layouts(tmp_path):
+        keys = P.distinct_keys(P.table_stream(spark, root, "events", max_files_per_trigger=1),
+                               ["user_id", "event_type"], P.workdir(spark, "keys"))
+        assert sorted(map(tuple, keys.collect())) == want
+
+
+def test_single_file_tables_stream(spark):
+    assert P.distinct_keys(P.table_stream(spark, SF_SMALL, "events"), ["event_type"], P.workdir(spark, "k")).count() > 0
+
+
+def test_quarantined_rows_are_kept(spark, tmp_path):
+    """T9: rows of the two routes add up; only good ones become facts."""
+    rows = [("a.html", "/a.html", "<p>POD Reference: P1</p>"), ("b.html", "/b.html", ""), ("c.html", "/c.html", None)]
+    spark.createDataFrame(rows, "file_name string, file_relative_path string, content string").write.parquet(f"{tmp_path}/in")
+    feed = spark.readStream.schema("file_name string, file_relative_path string, content string").parquet(f"{tmp_path}/in")
+    extracted, fact = P.run_pipeline(P.parse_stream(feed), P.workdir(spark, "quarantine"))
+    routes = {r.file_name: r.route for r in spark.read.parquet(extracted).collect()}
+    assert routes == {"a.html": "ok", "b.html": "quarantine", "c.html": "quarantine"}
+    assert [r.pod_id for r in spark.read.parquet(fact).collect()] == ["P1"]
+
+
+def test_queries_run_from_another_folder(tmp_path):
+    """Workers need nothing but Spark: no dependence on the folder of the start."""
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {root!r})\n"
+            "from podlake.session import get_spark\nimport __spark_entry__ as e\n"
+            "spark = get_spark('local[2]', shuffle_partitions=4)\n"
+            f"print('ROWS', *[e.queries()[n](spark, {SF_SMALL!r}).count() for n in ('postings', 'stream_corpus')])")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+    assert all(int(n) > 0 for n in out.stdout.split("ROWS")[1].split())
 
 
 def test_idempotent_append_replaces_retried_batch(spark):
