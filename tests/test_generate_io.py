@@ -47,3 +47,50 @@ def test_initial_partitions_only_on_clusters(spark):
     before = spark.conf.get(INITIAL_PARTITIONS_KEY, None)
     set_initial_partitions(spark)
     assert spark.conf.get(INITIAL_PARTITIONS_KEY, None) == before
+
+
+def test_append_positional(spark):
+    """SNK3: values by position; a wrong number of columns is refused."""
+    import pytest
+    path = scratch_path(spark, "positional")
+    rows = spark.createDataFrame([("CAR1", "Name", "Express", "North", 0.9, True)], "a string, b string, c string, d string, e double, f boolean")
+    io.append_positional(rows, path, schemas.DIM_CARRIERS)
+    r = spark.read.parquet(path).collect()
+    assert len(r) == 1 and r[0].carrier_name == "Name" and r[0].active_flag
+    with pytest.raises(ValueError):
+        io.append_positional(rows.drop("f"), path, schemas.DIM_CARRIERS)
+
+
+def test_binary_parser_hook(spark):
+    """DOC1 for other formats: a parser over pandas frames."""
+    from podlake.operators import documents as doc
+
+    def parser(frames):
+        for f in frames:
+            f["text"] = f["content"].map(lambda b: bytes(b).decode()[::-1])
+            yield f[["id", "text"]]
+
+    df = spark.createDataFrame([(1, bytearray(b"abc"))], "id int, content binary")
+    assert [tuple(r) for r in doc.parse_with(df, parser, "id int, text string").collect()] == [(1, "cba")]
+
+
+def test_model_columns_exist_in_their_sources(spark, t_small):
+    """SM1: the model is held against the real columns of its tables."""
+    import pytest
+    from podlake.plans.logistics_model import logistics_model
+    from podlake.plans.semantic import ModelError
+    model = logistics_model().check_sources(t_small)
+    model.tables["ORDERS"].facts.append("no_such_column")
+    with pytest.raises(ModelError):
+        model.check_sources(t_small)
+
+
+def test_filter_on_a_fact_column_needs_no_listing(spark, t_small):
+    """SM2: the fact columns that a filter names are kept, and it runs first."""
+    from pyspark.sql import functions as F
+    from podlake.plans.logistics_model import logistics_model
+    from podlake.plans.semantic import metric_query
+    from podlake.sources import fixtures as fx
+    q = metric_query(logistics_model(), t_small, ["TOTAL_SHIPMENTS"], ["carrier_name"], where=F.col("status") == "Returned")
+    want = fx.fact_shipments(t_small, ["status"]).where("status = 'Returned'").count()
+    assert sum(r.total_shipments for r in q.collect()) == want > 0

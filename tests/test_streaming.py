@@ -163,3 +163,15 @@ def test_live_index_matches_batch_index(spark):
     cols = ["query_id", "rank", "id", "score"]
     assert sorted(live.select(*cols).collect()) == sorted(batch.select(*cols).collect())
     assert live.count() == 10
+
+
+def test_files_registered_twice_are_processed_once(spark, tmp_path):
+    """ST7 within a delay, and ST8's progress rows."""
+    rows = [("a.pdf", "/a.pdf", "2024-01-01 00:00:00"), ("a.pdf", "/a.pdf", "2024-01-01 00:10:00"), ("b.pdf", "/b.pdf", "2024-01-01 00:20:00")]
+    schema = "file_name string, file_relative_path string, load_ts string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/reg")
+    feed = spark.readStream.schema(schema).parquet(f"{tmp_path}/reg").withColumn("load_ts", F.col("load_ts").cast("timestamp"))
+    out = scratch_path(spark, "dedup-files")
+    q = P.run(P.dedup_files(feed), f"{out}/o", f"{out}/c")
+    assert sorted(r.file_relative_path for r in spark.read.parquet(f"{out}/o").collect()) == ["/a.pdf", "/b.pdf"]
+    assert sum(r.input_rows for r in P.progress_rows(spark, q).collect()) == 3
