@@ -126,18 +126,27 @@ class Items:
         band = (at - starts[row] - self.place[which] + self.m[item]) // width + 1
         key = (row.astype(np.uint64) << np.uint64(48)) | (item.astype(np.uint64) << np.uint64(28)) \
             | band.astype(np.uint64)
-        keys, hits = np.unique(key, return_counts=True)
-        # band k also holds the matches of slot k + 1: bands overlap by half
-        nxt = np.minimum(np.searchsorted(keys, keys + np.uint64(1)), max(0, len(keys) - 1))
-        beside = np.where(keys[nxt] == keys + np.uint64(1), hits[nxt], 0) if len(keys) else hits
-        prev = np.maximum(np.searchsorted(keys, keys - np.uint64(1)), 0) if len(keys) else keys
-        lone = ~(keys[np.minimum(prev, max(0, len(keys) - 1))] == keys - np.uint64(1)) if len(keys) else keys
-        for k, own, two, first in zip(keys, hits, hits + beside, lone, strict=True):
-            r, i, b = int(k >> np.uint64(48)), int(k >> np.uint64(28)) & 0xFFFFF, int(k) & 0xFFFFFFF
+        order = np.argsort(key, kind="stable")
+        key, places = key[order], self.place[which][order]
+        keys, first, hits = np.unique(key, return_index=True, return_counts=True)
+        if not len(keys):
+            return
+        # A band is two neighbouring slots of e + 1 diagonals; it starts at each slot
+        # that has hits, and before one whose forerunner has none.
+        one = np.uint64(1)
+        after = np.append((keys[1:] == keys[:-1] + one), False)
+        before = np.concatenate([[False], after[:-1]])
+        beside = np.where(after, np.append(hits[1:], 0), 0)
+        bound = self.bound[((keys >> np.uint64(28)) & np.uint64(0xFFFFF)).astype(np.int64)]
+        for k in np.flatnonzero(hits + beside >= bound):
+            r, i, b = int(keys[k] >> np.uint64(48)), int(keys[k] >> np.uint64(28)) & 0xFFFFF, int(keys[k]) & 0xFFFFFFF
+            # of the hits, each q-gram of the item counts once
+            shared = np.unique(places[first[k]:first[k] + hits[k] + beside[k]])
+            if len(shared) < bound[k]:
+                continue
             w, m = int(self.e[i]) + 1, int(self.m[i])
-            if two >= self.bound[i]:
-                yield r, i, (b - 1) * w - m, 2 * w - 1
-            if first and own >= self.bound[i]:  # the band that ends with this slot
+            yield r, i, (b - 1) * w - m, 2 * w - 1
+            if not before[k] and hits[k] >= bound[k]:
                 yield r, i, (b - 2) * w - m, 2 * w - 1
 
     def leaks(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
