@@ -8,8 +8,7 @@ line shuffles: only 128-bit hashes, document ids and positions do.
 A hash is split into ``SALTS`` salted runs by document, so a line found in a
 third of all documents is spread over that many range partitions; each run
 yields one local first occurrence, and the global first is the smallest of at
-most ``SALTS`` of them. The join that brings it back is a plain equi-join
-that adaptive execution splits where it is skewed.
+most ``SALTS`` of them; it goes back to the lines of each salted run.
 
 Defined results: a null or empty text is one empty line; a null doc_id sorts
 after all others; rows that share doc_id and text share a bitmap; rows that
@@ -55,9 +54,10 @@ def dropped_lines(hashes: DataFrame) -> DataFrame:
     run = (W.partitionBy("h1", "h2", "salt")
            .orderBy(F.col("doc_id").asc_nulls_last(), "fp", "pos"))
     ranged = hashes.repartitionByRange("h1", "h2", "salt")
-    heads = (ranged.withColumn("nth", F.row_number().over(run)).where("nth = 1"))
-    owners = heads.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"))
-    return (hashes.join(owners, ["h1", "h2"])
+    heads = ranged.withColumn("nth", F.row_number().over(run)).where("nth = 1")
+    owners = heads.select("h1", "h2", "salt",
+                          F.min("doc_id").over(W.partitionBy("h1", "h2")).alias("owner"))
+    return (hashes.join(owners, ["h1", "h2", "salt"])
             .where(~F.col("doc_id").eqNullSafe(F.col("owner")))
             .select("doc_id", "fp", "pos"))
 
