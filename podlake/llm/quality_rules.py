@@ -43,6 +43,8 @@ SMOOTH = 50
 #: square roots of symbols per word, of repeated words, of repeated lines).
 FLOORS = (0.06, 0.06, 0.12, 0.12)
 SCALE = 1000
+#: Shares that a group's vectors are split into for joins with its model.
+SALTS = 64
 DIMS = len(FLOORS)
 CHI2_MEDIAN = 3.357  # median of chi squared with four degrees of freedom
 
@@ -96,11 +98,19 @@ def vector() -> list[Column]:
 
 
 def levels(vectors: DataFrame) -> DataFrame:
-    """Each vector once per level: its language and source, its language, all."""
+    """Each vector once per level (its language and source, its language, all)
+    with a salt that splits its group."""
     key = F.array(F.struct(F.lit(0).alias("level"), "lang", "source"),
                   F.struct(F.lit(1).alias("level"), "lang", F.lit("").alias("source")),
                   F.struct(F.lit(2).alias("level"), F.lit("").alias("lang"), F.lit("").alias("source")))
-    return vectors.select(F.explode(key).alias("g"), *[f"x{j}" for j in range(DIMS)])
+    return vectors.select(F.explode(key).alias("g"), "salt", *[f"x{j}" for j in range(DIMS)])
+
+
+def joined(rows: DataFrame, few: DataFrame) -> DataFrame:
+    """``rows`` with the one row that ``few`` has for their group. The small side
+    is repeated for every salt, so a group with most of the rows is split."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return rows.join(few.select("*", salts), ["g", "salt"])
 
 
 def quantile(rows: DataFrame, value: str, share: float, name: str) -> DataFrame:
@@ -147,7 +157,7 @@ def measured(rows: DataFrame, model: DataFrame) -> DataFrame:
     """Rows of groups with a model, plus their squared distance d2."""
     d2 = distance([F.col(f"x{j}") / SCALE for j in range(DIMS)], [F.col(f"m{j}") for j in range(DIMS)],
                   {(i, j): F.col(f"l{i}{j}") for i in range(DIMS) for j in range(i + 1)})
-    return rows.join(model, "g").withColumn("d2", d2)
+    return joined(rows, model).withColumn("d2", d2)
 
 
 def start(rows: DataFrame) -> DataFrame:
@@ -155,7 +165,7 @@ def start(rows: DataFrame) -> DataFrame:
     out = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_GROUP)
     for j in range(DIMS):
         med = quantile(rows, f"x{j}", 0.5, f"med{j}")
-        off = rows.join(med, "g").select("g", F.abs(F.col(f"x{j}") - F.col(f"med{j}")).alias("off"))
+        off = joined(rows, med).select("g", F.abs(F.col(f"x{j}") - F.col(f"med{j}")).alias("off"))
         out = out.join(med, "g").join(quantile(off, "off", 0.5, f"mad{j}"), "g")
     cols = {f"m{j}": F.col(f"med{j}") / SCALE for j in range(DIMS)}
     for i in range(DIMS):
@@ -169,7 +179,7 @@ def concentrated(rows: DataFrame, model: DataFrame) -> DataFrame:
     """One concentration step: the model of the SUPPORT share nearest to ``model``,
     widened so that the median distance is that of a normal sample."""
     binned = measured(rows, model).withColumn("bin", F.floor(F.log1p("d2") * 1000))
-    near = binned.join(quantile(binned, "bin", SUPPORT, "limit"), "g").where("bin <= limit")
+    near = joined(binned, quantile(binned, "bin", SUPPORT, "limit")).where("bin <= limit")
     exact = [F.sum(F.col(f"x{j}").cast("decimal(20,0)")).alias(f"s{j}") for j in range(DIMS)]
     exact += [F.sum((F.col(f"x{i}") * F.col(f"x{j}")).cast("decimal(20,0)")).alias(f"s{i}{j}")
               for i in range(DIMS) for j in range(i + 1)]
@@ -203,7 +213,7 @@ def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     stats = stored(few, "quality-statistics")
     vectors = stats.select("*", *vector())
     model = estimates(vectors.where(~F.col("__q_base_failed")).select(
-        "lang", "source", *[f"x{j}" for j in range(DIMS)]))
+        "lang", "source", F.pmod("__q_fp", F.lit(SALTS)).cast("int").alias("salt"), *[f"x{j}" for j in range(DIMS)]))
     model = model.select(F.struct(*[F.col(c) for c in MODEL[1:]]).alias("model"), "g.*")
     own = model.where("level = 0").select("lang", "source", F.col("model").alias("own"))
     tongue = model.where("level = 1").select("lang", F.col("model").alias("tongue"))
