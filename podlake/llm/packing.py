@@ -7,12 +7,13 @@ pieces of one length are placed at once. The plan is a table of slots, each a
 run of pieces of one length (by rank) that go to a run of sequences at one
 offset. Pieces get their rank within their length and take their slot by a join.
 
-Scale: only the histogram (at most ``capacity`` rows) reaches the driver and
-only the plan (at most capacity * (capacity + 1) / 2 slots: fewer than one per
-length and free space) is broadcast. Ranks are counted in hash buckets of
-bounded size, so a length that a third of all pieces have is not sorted in one
-task: per bucket and length a row number, plus the number of such pieces in
-earlier buckets.
+Scale: only the histogram (at most ``capacity`` rows) reaches the driver and only
+the plan is broadcast. The plan's size depends on the capacity alone, never on the
+number of documents: placing one length adds at most two runs of sequences, so
+there are at most 2 * capacity + 1 runs and as many steps per length. Ranks are
+counted in hash buckets of bounded size, so a length that a third of all pieces
+have is not sorted in one task: per bucket and length a row number, plus the
+number of such pieces in earlier buckets.
 
 Defined results: null or empty text is the end id alone; a null doc_id stays
 null; repeated rows are packed each; an empty table gives no rows. Other columns
@@ -39,7 +40,7 @@ from .tokens import steps
 
 CAPACITY = 1024
 END_ID = 2
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SLOT = "length long, rank_from long, rank_to long, sequence_from long, offset long"
