@@ -33,8 +33,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return minhash_dedup.kept_documents(docs)
+    """One document of each group of near copies: a Jaccard similarity of 0.8 or more."""
+    return minhash_dedup.kept_documents(docs, similarity=80)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ import math
 import numpy as np
 import pytest
 from brute import near_components
-from conftest import SF
+from conftest import DOC_SCHEMA, SF, doc, prose
 from podlake.llm import decontaminate, packing
 from podlake.llm import quality_rules as q
 from test_line_dedup import brute as brute_lines
@@ -107,3 +107,19 @@ def test_stages_handle_edges(spark, edge_docs, no_docs, tmp_path):
             docs = spark.createDataFrame(df.collect(), df.schema)
             assert df.columns == start.columns or stage is pipeline.STAGES[-1][1]
         assert (docs.count() == 0) == (start is no_docs)
+
+
+def test_near_copies_from_a_similarity_of_80(spark):
+    rows = []
+    for g in range(12):
+        w = prose(40 + g, 55).split()
+        rows += [doc(2 * g, " ".join(w)), doc(2 * g + 1, " ".join([*w[:25], "changed", *w[26:]]))]
+    near = near_components([(r[0], r[1]) for r in rows], 80)
+    assert len(set(near.values())) == 12 and len(set(near_components([(r[0], r[1]) for r in rows], 85).values())) == 24
+    left = pipeline.near_copies(spark, spark.createDataFrame(rows, DOC_SCHEMA), SF).collect()
+    assert {r["doc_id"] for r in left} == {i for i, c in near.items() if i == c}
+
+
+def test_near_copies_of_the_small_table_at_80(run):
+    component = near_components(texts(run[2]), 80)
+    assert {i for i, _ in texts(run[3])} == {i for i, c in component.items() if i == c}
