@@ -6,9 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,4 +19,5 @@ def spark():
 @pytest.fixture(scope="session")
 def t_small(spark):
     from podlake.sources.tables import tables
+    from settings import SF_SMALL
     return tables(spark, SF_SMALL)

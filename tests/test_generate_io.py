@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 from podlake import schemas
 from podlake.session import scratch_path
 from podlake.sources import io, literals

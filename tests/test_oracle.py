@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 
 import __spark_entry__ as entry
 from podlake.catalog import QUERIES

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 from podlake.functions import columns as C
 from podlake.operators import documents as doc
 from podlake.operators import kpis, review, search

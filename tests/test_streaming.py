@@ -5,7 +5,7 @@ import os
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from settings import SF_SMALL
 from podlake import schemas
 from podlake.operators import documents as doc
 from podlake.oracle.compare import compare, duck
