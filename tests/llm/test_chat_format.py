@@ -4,7 +4,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import SF
+from samples import SF
 from podlake.llm import chat_format
 
 SCHEMA = "conv_id long, turn long, role string, text string, formatted string, out string"

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import DOC_SCHEMA, doc, prose
+from samples import DOC_SCHEMA, doc, prose
 from podlake.llm import decontaminate as d
 
 ITEM = "item_id long, text string, key string"

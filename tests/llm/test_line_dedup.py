@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from conftest import DOC_SCHEMA, doc, prose
+from samples import DOC_SCHEMA, doc, prose
 from podlake.llm import line_dedup
 
 
@@ -64,7 +64,7 @@ def test_empty_table(no_docs):
 
 
 def test_plan_is_native(spark):
-    from conftest import SF
+    from samples import SF
     plan = line_dedup.op5_line_dedup(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
 

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from brute import near_components, shingle_set, words
-from conftest import DOC_SCHEMA, SF, doc, prose
+from samples import DOC_SCHEMA, SF, doc, prose
 from podlake.llm import minhash_dedup as m
 from podlake.llm import tokens
 from podlake.llm.links import components

@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import DOC_SCHEMA, SF, doc
+from samples import DOC_SCHEMA, SF, doc
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from podlake.llm import packing

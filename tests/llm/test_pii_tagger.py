@@ -2,7 +2,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import DOC_SCHEMA, SF, doc, prose
+from samples import DOC_SCHEMA, SF, doc, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from podlake.llm import pii_tagger as p

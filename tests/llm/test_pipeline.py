@@ -6,7 +6,7 @@ import math
 import numpy as np
 import pytest
 from brute import near_components
-from conftest import DOC_SCHEMA, SF, doc, prose
+from samples import DOC_SCHEMA, SF, doc, prose
 from podlake.llm import decontaminate, packing
 from podlake.llm import quality_rules as q
 from test_line_dedup import brute as brute_lines

@@ -3,7 +3,7 @@ import math
 import re
 
 import numpy as np
-from conftest import DOC_SCHEMA, doc, prose
+from samples import DOC_SCHEMA, doc, prose
 from podlake.llm import quality_rules as q
 
 
@@ -86,6 +86,6 @@ def test_edges_and_filter(edge_docs, no_docs):
 
 
 def test_plan_is_native(spark):
-    from conftest import SF
+    from samples import SF
     plan = q.op10_quality_rules(spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)

@@ -1,5 +1,5 @@
 import pytest
-from conftest import SF
+from samples import SF
 
 import __spark_entry__ as entry
 from podlake.llm.queries import ORACLE_SQL, QUERIES

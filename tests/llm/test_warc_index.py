@@ -3,7 +3,7 @@ import gzip
 import hashlib
 import random
 
-from conftest import SF
+from samples import SF
 from podlake.llm import warc_index as w
 from podlake.session import scratch_path
 
