@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER
+from .common import UPPER, in_arrow
 from .tokens import steps
 
 Q = 8  # eight one-byte characters are one 64-bit word
@@ -211,7 +211,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     [pa.array([x[k] for x in rows], pa.int64()) for k in range(6)],
                     names=["doc_id", "item_id", "start", "end", "edits", "item_chars"])
 
-        out = out.unionByName(docs.mapInArrow(scan, schema))
+        out = out.unionByName(docs.transform(in_arrow, scan, schema))
     return out
 
 
@@ -228,7 +228,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         keep[lo + r] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(scan, docs.schema)
+        docs = docs.transform(in_arrow, scan, docs.schema)
     return docs
 
 

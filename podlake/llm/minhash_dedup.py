@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_arrow, ship, stored
 from .links import components
 from .tokens import column_shingles, splitmix, steps
 
@@ -125,7 +125,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, n (set size), ka, kb (name of the set), bands (bucket ids)."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, 
         _signatures, "doc_id long, n long, ka long, kb long, bands array<long>")
 
 
@@ -229,6 +229,7 @@ def block_rows(members: DataFrame) -> DataFrame:
 
 def confirmed(units: DataFrame, sets: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
     rows = units.join(sets, "node").join(labels, "node").select("unit", "side", "node", "component", "items")
+    ship(rows.sparkSession)
     return rows.groupBy("unit").applyInPandas(_confirm(similarity), "a long, b long")
 
 
@@ -244,7 +245,7 @@ def classes(docs: DataFrame, similarity: int = SIMILARITY) -> tuple[DataFrame, D
     wanted = members.select("node", "ka").distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
     sets = stored(texts.join(wanted.hint("shuffle_hash"), "node")
-                  .mapInArrow(_set_rows, "node long, items binary"), "minhash-sets")
+                  .transform(in_arrow, _set_rows, "node long, items binary"), "minhash-sets")
     alone = members.select("node", F.col("node").alias("component")).distinct()
     edges = stored(confirmed(star_rows(members), sets, alone, similarity), "minhash-links")
     found = components(edges)

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_arrow, stored
 from .subwords import byte_bpe
 from .tokens import steps
 
@@ -81,7 +81,7 @@ def token_pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k", capacity: in
                     out, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][:len(out)])
 
     schema = PIECE + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, run, schema)
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:

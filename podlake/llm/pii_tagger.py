@@ -39,6 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import in_arrow
 from .tokens import steps
 
 KINDS = ("email", "ip", "card", "phone")
@@ -419,7 +420,7 @@ def training_windows(docs: DataFrame, most: int = TRAIN_DOCS) -> list[tuple[str,
     share = max(1, docs.count() // most)
     h = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40))
     picked = docs.select(h.alias("h"), "text").where(F.pmod(F.xxhash64("h"), F.lit(share)) == 0)
-    rows = picked.mapInArrow(_windows, "h long, labelled boolean, signs boolean, cut string, spans string").collect()
+    rows = picked.transform(in_arrow, _windows, "h long, labelled boolean, signs boolean, cut string, spans string").collect()
     rows.sort(key=lambda r: (r["h"], r["cut"], r["spans"]))
     yes = [r for r in rows if r["labelled"]]
     odd = [r for r in rows if r["signs"] and not r["labelled"]]
@@ -450,7 +451,7 @@ def find(docs: DataFrame, net: Network | None) -> DataFrame:
                 names=["doc_id", *(f"n_{k}" for k in KINDS), "base", "spans"])
 
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, 
         run, f"doc_id long, {counts}, base string, spans string")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, line_dedup, lm_scoring, minhash_dedup, packing, pii_tagger, quality_rules, substring_dedup, warc_index
+from . import chat_format, decontaminate, line_dedup, lm_scoring, minhash_dedup, packing, pii_tagger, quality_rules, secret_scan, substring_dedup, warc_index
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op6_lm_scoring": lm_scoring.op6_lm_scoring,
     "op7_chat_format": chat_format.op7_chat_format,
+    "op11_secret_scan": secret_scan.op11_secret_scan,
 }
 
 ORACLE_SQL = {

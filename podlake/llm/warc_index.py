@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import stored
+from .common import in_arrow, stored
 
 ARCHIVE_BYTES = 16 << 20
 MEMBER_BYTES = 8 << 20  # uncompressed bytes of a gzip member, under 16 MB
@@ -125,7 +125,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = MIN_REV
     owners = (p.where(F.octet_length("payload") >= min_revisit_bytes)
               .groupBy("sha").agg(F.max("page_id").alias("owner")))
     told = p.join(owners.hint("shuffle_hash"), "sha", "left").drop("sha")
-    records = told.mapInArrow(_write, "archive string, record binary")
+    records = told.transform(in_arrow, _write, "archive string, record binary")
     (records.select("archive", F.col("record").cast("string").alias("value"))
      .write.partitionBy("archive").option("lineSep", "\x00").text(path))
 
@@ -205,7 +205,7 @@ def read_archives(spark, path: str) -> DataFrame:
     """Index entries of all archives, one sorted run per archive."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(path)
     name = F.regexp_extract("path", r"archive=([^/]+)/[^/]*$", 1)
-    return files.select(name.alias("archive"), "content").mapInArrow(_entries, ENTRY)
+    return files.select(name.alias("archive"), "content").transform(in_arrow, _entries, ENTRY)
 
 
 # --- merging ---------------------------------------------------------------
@@ -287,7 +287,7 @@ def merged_index(runs: DataFrame) -> DataFrame:
     ranges = max(1, -(-runs.count() // RANGE_ROWS))
     dealt = runs.repartitionByRange(ranges, F.col("url_key"), F.col("captured"),
                                     F.col("page_id").asc_nulls_first(), F.col("archive"), F.col("record_offset"))
-    return dealt.mapInArrow(_merge, ENTRY + ", range_no int, position long")
+    return dealt.transform(in_arrow, _merge, ENTRY + ", range_no int, position long")
 
 
 def op2_warc_index(spark, sf_dir: str) -> DataFrame:
