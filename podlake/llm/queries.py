@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, line_dedup, lm_scoring, minhash_dedup, packing, pii_tagger, quality_rules, secret_scan, substring_dedup, warc_index
+from . import chat_format, decontaminate, line_dedup, lm_scoring, minhash_dedup, packing, pii_tagger, quality_rules, secret_scan, spelling_variants, substring_dedup, warc_index
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -16,6 +16,7 @@ QUERIES = {
     "op6_lm_scoring": lm_scoring.op6_lm_scoring,
     "op7_chat_format": chat_format.op7_chat_format,
     "op11_secret_scan": secret_scan.op11_secret_scan,
+    "op12_spelling_variants": spelling_variants.op12_spelling_variants,
 }
 
 ORACLE_SQL = {

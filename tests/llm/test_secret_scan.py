@@ -8,7 +8,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from podlake.llm import automaton as A
 from podlake.llm import secret_scan as S
-from samples import DOC_SCHEMA, SF, doc, prose
+from samples import DOC_SCHEMA, doc, prose
+
+SF = "/root/testdata/sf0.01"  # the smaller tables hold no secrets
 
 BASE = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A),
          lambda m: len(m[2]) >= 6),
