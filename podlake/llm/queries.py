@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, line_dedup, lm_scoring, minhash_dedup, packing, pii_tagger, quality_rules, secret_scan, spelling_variants, substring_dedup, warc_index
+from . import chat_format, decontaminate, hard_negatives, line_dedup, lm_scoring, minhash_dedup, packing, pii_tagger, quality_rules, secret_scan, spelling_variants, substring_dedup, warc_index
 
 QUERIES = {
     "op1_substring_dedup": substring_dedup.op1_substring_dedup,
@@ -17,9 +17,11 @@ QUERIES = {
     "op7_chat_format": chat_format.op7_chat_format,
     "op11_secret_scan": secret_scan.op11_secret_scan,
     "op12_spelling_variants": spelling_variants.op12_spelling_variants,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE_SQL = {
     "op5_line_dedup": line_dedup.SQL,
     "op7_chat_format": chat_format.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
