@@ -376,10 +376,10 @@ def op13_hard_negatives(spark, sf_dir: str) -> DataFrame:
 SQL = """
 WITH fine AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS own, list_inner_product(a.v, b.v)::BIGINT AS score
   FROM fine a JOIN fine b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
