@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from .operators import documents as doc
 from .operators import kpis, quality, review, routing, search
+from .operators.segments import SegmentIndex
 from .plans import questions as vq
-from .session import apply_runtime_conf, spread
+from .session import apply_runtime_conf, scratch_path, spread
 from .sources import fixtures as fx
 from .sources import io
 from .sources.tables import tables
@@ -100,7 +101,7 @@ def _curated(t) -> dict[str, DataFrame]:
 def q_row_counts(spark, sf):
     t = _t(spark, sf)
     named = _curated(t)
-    named["pod_search_corpus"] = _corpus_table(spark, t)
+    named["pod_search_corpus"] = _corpus(t).select("pod_id")
     return kpis.row_counts(named)
 
 
@@ -219,12 +220,6 @@ def _corpus(t) -> DataFrame:
     return search.build_corpus(fx.pod_fact(t), fx.dim_customers(t), fx.dim_carriers(t))
 
 
-def _corpus_table(spark, t) -> DataFrame:
-    """POD_SEARCH_CORPUS as the reference builds it: CREATE OR REPLACE TABLE AS
-    SELECT, here a Parquet table in the shared folder that later steps read."""
-    return io.materialize(_corpus(t), spark, "pod-search-corpus")
-
-
 def q_search_corpus(spark, sf):
     return _corpus(_t(spark, sf))
 
@@ -233,17 +228,34 @@ def q_search_source(spark, sf):
     return search.search_source(_corpus(_t(spark, sf)))
 
 
-def _pod_index(spark, t) -> tuple[DataFrame, search.TextIndex]:
-    """The written POD corpus and the stored index over it, as a search service
-    keeps them; the search queries below read only these."""
-    corpus = _corpus_table(spark, t)
-    return corpus, search.materialize_index(corpus, "pod_id", "search_text", "pod-index", stemmed=True)
+def _pod_index(spark, name: str) -> SegmentIndex:
+    """A fresh index over POD texts, as a search service keeps it."""
+    return SegmentIndex(spark, scratch_path(spark, name), stemmed=True)
 
 
 def q_postings(spark, sf):
     """The stored index's postings, read back."""
-    _, index = _pod_index(spark, _t(spark, sf))
-    return index.postings.select("term", F.col("id").alias("pod_id"), "tf", "dl")
+    index = _pod_index(spark, "pod-index")
+    index.apply(0, _corpus(_t(spark, sf)), id_col="pod_id", text_col="search_text", all_new=True)
+    return index.postings().select("term", F.col("id").alias("pod_id"), "tf", "dl")
+
+
+def q_index_changes(spark, sf):
+    """SE3 / SE8 / RV5: the index after PODs came in two batches with their plain
+    text, those with an exception got their full search text, and refused ones
+    were taken away: its dictionary and, from its postings, the uses of each term."""
+    corpus, index = _corpus(_t(spark, sf)), _pod_index(spark, "changed-index")
+    number = F.regexp_extract("order_id", "[0-9]+", 0).cast("long")
+    plain = corpus.select("pod_id", F.col("pod_text_content").alias("search_text"), number.alias("number"))
+    names = {"id_col": "pod_id", "text_col": "search_text"}
+    index.apply(0, plain.where("number % 2 = 0"), **names)
+    index.apply(1, plain.where("number % 2 <> 0"), **names, all_new=True)
+    index.apply(2, corpus.where("exception_flag").select("pod_id", "search_text"),
+                corpus.where("pod_status = 'Refused'").select("pod_id"), **names)
+    index.apply(3, gone=corpus.where("pod_status = 'Refused'").select("pod_id"), id_col="pod_id")
+    index.merge()
+    uses = index.postings().groupBy("term").agg(F.sum("tf").alias("uses"), F.count(F.lit(1)).alias("documents"))
+    return index.dictionary().join(uses, "term", "full_outer").select("term", "df", "documents", "uses")
 
 
 def q_bm25_topk(spark, sf):
@@ -254,6 +266,16 @@ def q_bm25_topk(spark, sf):
     return hits.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
 
 
+def q_blockmax_topk(spark, sf):
+    """SE4: the same searches through a stored index whose blocks are skipped where
+    their bound stays below the threshold."""
+    t = _t(spark, sf)
+    index = SegmentIndex(spark, scratch_path(spark, "doc-index"))
+    index.apply(0, spread(t.documents.select("doc_id", "text")), id_col="doc_id", all_new=True)
+    hits = index.search(t.benchmark.select(F.col("item_id").alias("query_id"), "text"), k=DOC_SEARCH_K)
+    return hits.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
 #: What a search result shows of a POD beside its rank (PRJ4).
 HIT_COLUMNS = ["customer_name", "carrier_name", "pod_status", "exception_notes", "damage_description"]
 
@@ -261,9 +283,9 @@ HIT_COLUMNS = ["customer_name", "carrier_name", "pod_status", "exception_notes",
 def q_bm25_filtered(spark, sf):
     """SE7: several attribute-filtered searches in one plan: the allowed
     (query_id, pod_id) pairs are one union of filters over the search source, and
-    cut the postings before scores are summed."""
+    cut the postings of the query terms before scores are summed."""
     t = _t(spark, sf)
-    corpus, index = _pod_index(spark, t)
+    corpus = _corpus(t)
     src = search.search_source(corpus)
     q = spark.createDataFrame([(i, txt) for i, txt, _, _ in FILTERED_QUERIES],
                               "query_id int, text string")
@@ -272,7 +294,7 @@ def q_bm25_filtered(spark, sf):
                                 for i, _, attr, val in FILTERED_QUERIES]),
                       lambda x: x.isNotNull())
     allowed = src.select(F.col("pod_id").alias("id"), F.explode(passes).alias("query_id"))
-    hits = search.search(index, q, k=SEARCH_K, allowed=allowed)
+    hits = search.search_batch(corpus, "pod_id", "search_text", q, k=SEARCH_K, stemmed=True, allowed=allowed)
     shown = corpus.select(F.col("pod_id").alias("id"), *HIT_COLUMNS)
     return hits.join(shown, "id").select("query_id", "rank", F.col("id").alias("pod_id"), "score", *HIT_COLUMNS)
 
@@ -292,15 +314,12 @@ def q_vector_topk(spark, sf):
 def q_index_health(spark, sf):
     """SE10: the first half of the PODs (even order keys) is indexed while all are
     in the corpus, then the rest is appended: the state before and after."""
-    from .session import scratch_path
-    t = _t(spark, sf)
-    corpus, path = _corpus_table(spark, t), scratch_path(spark, "health-index")
+    corpus, index = _corpus(_t(spark, sf)), _pod_index(spark, "health-index")
     number = F.regexp_extract("order_id", "[0-9]+", 0).cast("long")
     states = []
-    for phase, part in (("first files", corpus.where(number % 2 == 0)), ("refreshed", corpus.where(number % 2 != 0))):
-        search.write_index(part, "pod_id", "search_text", path, stemmed=True)
-        indexed = search.load_index(spark, path, stemmed=True).docs.select(F.col("id").alias("pod_id"))
-        state = search.index_health(indexed, corpus.select("pod_id"), "pod_id")
+    for batch, (phase, part) in enumerate((("first files", number % 2 == 0), ("refreshed", number % 2 != 0))):
+        index.apply(batch, corpus.where(part), id_col="pod_id", text_col="search_text", all_new=True)
+        state = search.index_health(index.docs().select(F.col("id").alias("pod_id")), corpus.select("pod_id"), "pod_id")
         states.append(io.materialize(state.select(F.lit(phase).alias("phase"), "*"), spark, "index-state"))
     return states[0].unionByName(states[1])
 
@@ -348,11 +367,11 @@ def q_kpi_with_evidence(spark, sf):
                Window.orderBy(F.desc("exception_pct"), F.asc("carrier_name")))))
     # A handful of rows read by three later steps: written once, not recomputed.
     worst = io.materialize(top, spark, "worst-carriers")
-    corpus, index = _pod_index(spark, t)
+    corpus = _corpus(t)
     queries = worst.select("query_id", F.lit(EVIDENCE_TEXT).alias("text"))
     allowed = (corpus.select(F.col("pod_id").alias("id"), "carrier_name")
                .join(F.broadcast(worst.select("query_id", "carrier_name")), "carrier_name"))  # WORST_CARRIERS rows
-    hits = search.search(index, queries, k=EVIDENCE_K, allowed=allowed)
+    hits = search.search_batch(corpus, "pod_id", "search_text", queries, k=EVIDENCE_K, stemmed=True, allowed=allowed)
     return (hits.join(worst.select("query_id", "carrier_name", "exception_pct"), "query_id")
             .select("carrier_name", "exception_pct", "rank", F.col("id").alias("pod_id"),
                     "score"))
@@ -404,7 +423,6 @@ def _pod_decisions(t) -> DataFrame:
 def q_review_pods_log(spark, sf):
     """RV1-RV4 on all PODs and their 18 fields: the audit log, appended to a table
     with VARIANT payloads and read back from it."""
-    from .session import scratch_path
     path = scratch_path(spark, "pod-review-log")
     log = review.audit_rows(_pod_decisions(_t(spark, sf)), doc.EXTRACTION_KEYS, "ai_pod_reference", "file_name",
                             REVIEWER, REVIEWED_AT)
@@ -491,6 +509,16 @@ def q_stream_corpus(spark, sf):
     return spark.read.parquet(f"{wd}/corpus").drop("batch_id")
 
 
+def q_stream_postings(spark, sf):
+    """SE8: the segment index kept live from the POD stream, its postings read back."""
+    from .streaming import pipeline as P
+    t = _t(spark, sf)
+    index = _pod_index(spark, "live-index")
+    pods = fx.pod_fact(t, lineitem=P.table_stream(spark, sf, "lineitem"))
+    P.refresh_index_stream(pods, fx.dim_customers(t), fx.dim_carriers(t), index, P.workdir(spark, "stream-index"))
+    return index.postings().select("term", F.col("id").alias("pod_id"), "tf", "dl")
+
+
 # --- registry ----------------------------------------------------------------------
 
 def _vq(fn, *args):
@@ -542,7 +570,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "search_corpus": q_search_corpus,
     "search_source": q_search_source,
     "postings": q_postings,
+    "index_changes": q_index_changes,
     "bm25_topk": q_bm25_topk,
+    "blockmax_topk": q_blockmax_topk,
     "bm25_filtered": q_bm25_filtered,
     "vector_topk": q_vector_topk,
     "index_health": q_index_health,
@@ -563,4 +593,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_files_window": q_stream_files_window,
     "stream_dedup": q_stream_dedup,
     "stream_corpus": q_stream_corpus,
+    "stream_postings": q_stream_postings,
 }

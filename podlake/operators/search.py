@@ -220,16 +220,22 @@ def search(index: TextIndex, queries: DataFrame, k: int = 5, qid: str = "query_i
 
 
 def search_batch(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, k: int = 5,
-                 qid: str = "query_id", text: str = "text") -> DataFrame:
-    """SE3 + SE4 for a one-shot batch of queries: only postings of query terms are
-    counted (a semi-join of the exploded tokens with the terms) and written once,
-    beside every document's length."""
+                 qid: str = "query_id", text: str = "text", stemmed: bool = False,
+                 allowed: DataFrame | None = None) -> DataFrame:
+    """SE3 + SE4 (+SE7) for a one-shot batch of queries, without an index. One pass
+    tokenizes the corpus and counts per document each query term and, as one row
+    with a NULL term, all the rest; what is counted map-side and shuffled is therefore only
+    query terms and one length row per document."""
     from ..sources.io import materialize
-    spark, tok = docs.sparkSession, token_table(docs, id_col, text_col)
-    terms = query_terms(queries, qid, text).select("term").distinct()
-    postings = materialize(term_frequencies(tok, only=terms), spark, "postings")
-    lengths = materialize(tok.select("id", "dl"), spark, "lengths")
-    return search(TextIndex(postings, document_frequencies(postings), lengths), queries, k, qid, text)
+    terms = query_terms(queries, qid, text, stemmed).select("term").distinct().withColumn("hit", F.lit(True))
+    words = token_table(docs, id_col, text_col).select("id", "dl", F.explode(F.concat("toks", F.array(F.lit("")))).alias("term"))
+    if stemmed:
+        words = words.withColumn("term", stem(F.col("term")))
+    counted = (words.join(terms, "term", "left").groupBy(F.when(F.col("hit"), F.col("term")).alias("term"), "id", "dl")
+               .agg(F.count(F.lit(1)).alias("tf")))
+    postings, lengths = split_postings(materialize(counted, docs.sparkSession, "postings"))
+    index = TextIndex(postings, document_frequencies(postings), lengths, stemmed)
+    return search(index, queries, k, qid, text, allowed)
 
 
 # --- SE5 / SE6 --------------------------------------------------------------------
