@@ -5,7 +5,8 @@ and each ASCII white-space character counts as a space. An item of m characters
 leaks into a document when some passage of it is within e = floor(BUDGET * m)
 edits. The search is a q-gram filter: such a passage shares at least
 m - q + 1 - q * e q-grams with the item, and their diagonals (position in the
-text less position in the item) differ by at most e. So every task counts shared
+text less position in the item) differ by at most e. q is eight, or less where an
+item's length and budget would leave no shared q-gram (``gram_length``). So every task counts shared
 q-grams per item in bands of 2 * (e + 1) diagonals that overlap by half; a band
 that reaches the bound is a region, and each region is verified by alignment
 inside its band.
@@ -16,7 +17,9 @@ over the documents per block. Documents are scanned where they lie; nothing of
 them is shuffled or collected.
 
 Defined results: null texts and items are empty; items of fewer than
-``MIN_CHARS`` characters are no passages and never leak; repeated items are all
+``EXACT_BELOW`` characters have no edit budget and are sought as whole words, or,
+if they have fewer than ``shortest`` characters, not at all (the query seeks all
+of them); repeated items are all
 reported; repeated documents are reported each; null ids are kept as null; an
 empty benchmark or table gives no leaks. Columns beyond doc_id and text, and
 beyond item_id and text, pass through or are ignored.
@@ -32,13 +35,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UPPER, in_arrow
+from .common import UPPER, in_arrow, stored
 from .tokens import steps
 
 Q = 8  # eight one-byte characters are one 64-bit word
 BUDGET = 0.1
-MIN_CHARS = 24
+#: Shorter items are sought without any edit, as whole words.
+EXACT_BELOW = 24
 BLOCK_CHARS = 4_000_000
+BLOCK_ITEMS = 500_000
+STEP_ROWS = 50_000  # a row of a step has 16 bits in ``regions``, an item of a block 20
 BITS = 22
 
 #: One byte per character for the filter: equal characters stay equal, so it can
@@ -57,7 +63,19 @@ def filter_bytes(text: str) -> bytes:
 
 
 def edit_budget(m: int) -> int:
-    return int(BUDGET * m)
+    return int(BUDGET * m) if m >= EXACT_BELOW else 0
+
+
+def gram_length(m: int) -> int:
+    """Characters of a q-gram for items of m: so many that an item and a passage within
+    its budget share one at least (m - q + 1 - q * e >= 1), at most eight."""
+    return min(Q, m // (edit_budget(m) + 1))
+
+
+def whole_words(text: str, start: int, end: int) -> bool:
+    """No letter or digit goes on over either end of the passage."""
+    return not (start and text[start - 1].isalnum() and text[start].isalnum()
+                or end < len(text) and text[end - 1].isalnum() and text[end].isalnum())
 
 
 def aligned(item: str, region: str, width: int, pad: int = 0) -> tuple[int, int, int]:
@@ -85,14 +103,16 @@ def aligned(item: str, region: str, width: int, pad: int = 0) -> tuple[int, int,
 
 
 class Items:
-    """A block of benchmark items with its q-gram index; sent to every task."""
+    """A block of benchmark items of one q-gram length with its index; sent to every task."""
 
     def __init__(self, ids: list, texts: list[str]):
         self.ids, self.texts = ids, [folded(t) for t in texts]
+        q, = {gram_length(len(t)) for t in texts}
+        self.mask = np.uint64((1 << 8 * q) - 1)  # the first q characters of a word of eight
         grams, owner, place = [], [], []
         for i, t in enumerate(texts):
             data = np.frombuffer(filter_bytes(t) + bytes(8), np.uint8)
-            g = np.ndarray((len(t) - Q + 1,), "<u8", data, strides=(1,)).copy()
+            g = np.ndarray((len(t) - q + 1,), "<u8", data, strides=(1,)) & self.mask
             grams.append(g)
             owner.append(np.full(len(g), i, np.int64))
             place.append(np.arange(len(g), dtype=np.int64))
@@ -104,14 +124,14 @@ class Items:
         self.seen[(self.grams * MIX) >> np.uint64(64 - BITS)] = True
         self.m = np.array([len(t) for t in texts], np.int64)
         self.e = np.array([edit_budget(len(t)) for t in texts], np.int64)
-        self.bound = np.maximum(1, self.m - Q + 1 - Q * self.e)
+        self.bound = self.m - q + 1 - q * self.e
 
     def regions(self, texts: list[str]) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, first diagonal, width) of every band that reaches its bound."""
         starts = np.zeros(len(texts) + 1, np.int64)
         np.cumsum([len(t) + 1 for t in texts], out=starts[1:])
         data = np.frombuffer(b"\0".join(filter_bytes(t) for t in texts) + bytes(8), np.uint8)
-        grams = np.ndarray((max(0, len(data) - Q + 1),), "<u8", data, strides=(1,))
+        grams = np.ndarray((max(0, len(data) - Q + 1),), "<u8", data, strides=(1,)) & self.mask
         at = np.flatnonzero(self.seen[(grams * MIX) >> np.uint64(64 - BITS)])
         found = np.minimum(np.searchsorted(self.grams, grams[at]), len(self.grams) - 1)
         ok = self.grams[found] == grams[at]
@@ -160,7 +180,7 @@ class Items:
             lo = max(0, diagonal)
             region = plain[r][lo:max(lo, diagonal + width + int(self.m[i]))]
             edits, start, end = aligned(self.texts[i], region, width, lo - diagonal)
-            if edits <= self.e[i]:
+            if edits <= self.e[i] and (self.m[i] >= EXACT_BELOW or whole_words(plain[r], lo + start, lo + end)):
                 best.setdefault((r, i), []).append((edits, lo + start, lo + end))
         out = []
         for (r, i), found in best.items():
@@ -172,33 +192,43 @@ class Items:
         return out
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[Items]:
-    """The benchmark in blocks of about BLOCK_CHARS characters, one at a time."""
-    items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text")).where(
-        F.char_length("text") >= MIN_CHARS)
-    total = items.agg(F.sum(F.char_length("text").cast("long"))).first()[0] or 0
-    blocks = -(-total // BLOCK_CHARS)
-    place = F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, blocks)))
-    for b in range(blocks):
-        rows = items.where(place == b).orderBy("item_id", "text").collect()
-        if rows:
-            yield Items([r[0] for r in rows], [r[1] for r in rows])
+def item_blocks(benchmark: DataFrame, shortest: int) -> list[DataFrame]:
+    """The benchmark's items of ``shortest`` characters or more in blocks of about BLOCK_CHARS characters and
+    at most about BLOCK_ITEMS items of one q-gram length."""
+    m = F.char_length("text")
+    e = F.when(m >= EXACT_BELOW, F.floor(m * BUDGET)).otherwise(0)
+    items = benchmark.select("item_id", "text").where(m >= max(1, shortest)).withColumn("q", F.least(F.lit(Q), F.floor(m / (e + 1))))
+    out = []
+    # a row per q-gram length, at most eight
+    for r in items.groupBy("q").agg(F.sum(m.cast("long")).alias("chars"), F.count(F.lit(1)).alias("items")).orderBy("q").collect():
+        blocks = max(-(-r["chars"] // BLOCK_CHARS), -(-r["items"] // BLOCK_ITEMS))
+        place = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+        out += [items.where((F.col("q") == r["q"]) & (place == b)).select("item_id", "text") for b in range(blocks)]
+    return out
+
+
+def _sent(block: DataFrame):
+    """A block on every executor; None if no item was dealt into it."""
+    rows = block.orderBy("item_id", "text").collect()
+    return block.sparkSession.sparkContext.broadcast(Items([r[0] for r in rows], [r[1] for r in rows])) if rows else None
 
 
 def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    for lo, hi in steps(column):
-        yield lo, pc.fill_null(column.slice(lo, hi - lo), "").to_pylist()
+    for start, end in steps(column):
+        for lo in range(start, end, STEP_ROWS):
+            yield lo, pc.fill_null(column.slice(lo, min(STEP_ROWS, end - lo)), "").to_pylist()
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, shortest: int = EXACT_BELOW) -> DataFrame:
     """The operator: doc_id, item_id, start, end (code points, end exclusive),
     edits, item_chars; one row per leaked passage."""
-    spark = docs.sparkSession
     schema = "doc_id long, item_id long, start long, end long, edits long, item_chars long"
-    out = spark.createDataFrame([], schema)
+    out = docs.sparkSession.createDataFrame([], schema)
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    for block in item_blocks(benchmark):
-        sent = spark.sparkContext.broadcast(block)
+    blocks = item_blocks(benchmark, shortest)
+    for block in blocks:
+        if (sent := _sent(block)) is None:
+            continue
 
         def scan(batches, sent=sent):
             items = sent.value
@@ -211,14 +241,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     [pa.array([x[k] for x in rows], pa.int64()) for k in range(6)],
                     names=["doc_id", "item_id", "start", "end", "edits", "item_chars"])
 
-        out = out.unionByName(docs.transform(in_arrow, scan, schema))
+        found = docs.transform(in_arrow, scan, schema)
+        if len(blocks) > 1:  # one block at a time on the executors
+            found = stored(found, "decontaminate-leaks")
+            sent.destroy()
+        out = out.unionByName(found)
     return out
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, shortest: int = EXACT_BELOW) -> DataFrame:
     """Rows and columns of ``docs`` that no item leaks into."""
-    for block in item_blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(block)
+    blocks = item_blocks(benchmark, shortest)
+    for block in blocks:
+        if (sent := _sent(block)) is None:
+            continue
 
         def scan(batches, sent=sent):
             for batch in batches:
@@ -229,9 +265,12 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield batch.filter(pa.array(keep))
 
         docs = docs.transform(in_arrow, scan, docs.schema)
+        if len(blocks) > 1:
+            docs = stored(docs, "decontaminate-clean")
+            sent.destroy()
     return docs
 
 
 def op9_decontaminate(spark, sf_dir: str) -> DataFrame:
     return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"),
-                 spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+                 spark.read.parquet(f"{sf_dir}/benchmark.parquet"), shortest=1)

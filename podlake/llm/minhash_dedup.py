@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_arrow, ship, stored
+from .common import fingerprint, in_arrow, ship, stored
 from .links import components
 from .tokens import column_shingles, splitmix, steps
 
@@ -117,16 +117,16 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at.append(at[-1] + (BANDS if len(s) else 0))
         flat = np.concatenate(bands) if bands else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ka, pa.int64()),
+            [batch.column("doc_id"), batch.column("fp"), pa.array(n, pa.int64()), pa.array(ka, pa.int64()),
              pa.array(kb, pa.int64()),
              pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int64()))],
-            names=["doc_id", "n", "ka", "kb", "bands"])
+            names=["doc_id", "fp", "n", "ka", "kb", "bands"])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n (set size), ka, kb (name of the set), bands (bucket ids)."""
-    return docs.select(F.col("doc_id").cast("long"), "text").transform(in_arrow, 
-        _signatures, "doc_id long, n long, ka long, kb long, bands array<long>")
+    """doc_id, fp (of the text), n (set size), ka, kb (name of the set), bands (bucket ids)."""
+    rows = docs.select(F.col("doc_id").cast("long"), "text", fingerprint(F.col("text")).alias("fp"))
+    return in_arrow(rows, _signatures, "doc_id long, fp long, n long, ka long, kb long, bands array<long>")
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +260,7 @@ def classes(docs: DataFrame, similarity: int = SIMILARITY) -> tuple[DataFrame, D
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """The operator: doc_id, n_shingles, ka, kb (name of the set), component_id,
-    kept; one row per row of ``docs`` (which needs doc_id and text)."""
+    kept, fp (tells rows that share a doc_id apart); one row per row of ``docs`` (which needs doc_id and text)."""
     sigs, found = classes(docs, similarity)
     reps = (sigs.where("n > 0 AND doc_id IS NOT NULL").groupBy("ka", "kb", "n")
             .agg(F.min("doc_id").alias("node")))
@@ -270,13 +270,15 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     own = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     own = F.when(F.col("doc_id").isNotNull(), own)
     return out.select("doc_id", F.col("n").alias("n_shingles"), "ka", "kb", own.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(own).alias("kept"))
+                      F.col("doc_id").eqNullSafe(own).alias("kept"), "fp")
 
 
 def kept_documents(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
-    """Rows and columns of ``docs``: one document of each component stays."""
-    gone = near_duplicates(docs, similarity).where("NOT kept").select(F.col("doc_id").alias("__m_id")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), docs["doc_id"] == gone["__m_id"], "left_anti")
+    """Rows and columns of ``docs``: one document of each component stays. Verdicts are
+    per row, so of rows that share a doc_id only those go whose own text is a copy."""
+    gone = near_duplicates(docs, similarity).where("NOT kept").select(F.col("doc_id").alias("__m_id"), F.col("fp").alias("__m_fp")).distinct()
+    same = (docs["doc_id"].cast("long") == gone["__m_id"]) & (fingerprint(docs["text"]) == gone["__m_fp"])
+    return docs.join(gone.hint("shuffle_hash"), same, "left_anti")
 
 
 def op8_minhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ The byte-level vocabulary's pattern never joins two characters across a single
 space between non-space characters, so the ids of a text are those of its chunks
 (each with the space before it). Chunks repeat a lot; a cache per worker keeps
 their ids and is emptied when it holds ``CACHE`` chunks. A text with white
-space next to a space is encoded whole.
+space next to a space, or one that holds one of the vocabulary's added tokens (such as
+``<|endoftext|>``), is encoded whole by the plain tokenizer.
 """
 
 from __future__ import annotations
@@ -43,20 +44,25 @@ class Subwords:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(json)
-        self.full.encode_special_tokens = True
+        self.added = sorted(t.content for t in self.full.get_added_tokens_decoder().values())
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         self.after, self.first = _Chunks(self.whole, " "), _Chunks(self.whole, "")
 
     def whole(self, text: str) -> bytes:
-        if text.isascii() or max(text) < "ɐ":
+        if (text.isascii() or max(text) < "ɐ") and not self.holds_added(text):
             return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
         return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def holds_added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
+        if self.holds_added(text):
+            return self.whole(text)
         chunks = text.split(" ")
         try:
             return self.first[chunks[0]] + b"".join(map(self.after.__getitem__, chunks[1:]))

@@ -97,3 +97,68 @@ def test_edges(spark, edge_docs, no_docs, edge_rows):
 @pytest.mark.parametrize("region,width,want", [("xxabcdyy", 4, 0), ("xxabdyy", 4, 1), ("zzzz", 2, 4), ("abcd", 0, 0)])
 def test_banded_alignment(region, width, want):
     assert d.aligned("abcd", region, width)[0] == want
+
+
+def worst(item, edits):
+    """Edits spread so that they spoil as many q-grams as they can."""
+    s = list(item)
+    for k in range(1, edits + 1):
+        s[k * len(item) // (edits + 1)] = "#"
+    return "".join(s)
+
+
+def test_every_length_with_the_worst_edits():
+    """Items of 1 to 60 characters: found with edits up to the budget wherever they fall, and not beyond it."""
+    r = random.Random(11)
+    for m in range(1, 61):
+        item = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(m - 2)) + "qz" if m > 2 else "qz"[:m]
+        item = "x" + item[1:]
+        assert len(item) == m
+        budget = int(0.1 * m) if m >= 24 else 0
+        block = d.Items([0], [item])
+        for edits in range(budget + 2):
+            for spoilt in {worst(item, edits), noisy_places(item, edits, m)}:
+                text = "... " + spoilt + " ..."
+                found = block.leaks([text, "nothing here", ""])
+                want = distance(item, text) <= budget
+                assert bool(found) == want, (m, edits, spoilt)
+                assert all(i == 0 for i, *_ in found)
+
+
+def noisy_places(item, edits, seed):
+    s, r = list(item), random.Random(seed)
+    for k in r.sample(range(len(s)), min(edits, len(s))):
+        s[k] = "#"
+    return "".join(s)
+
+
+def test_thirty_characters_with_three_edits():
+    """Edits at places 7, 15, 23 leave no eight characters in a row."""
+    for m in range(24, 40):
+        item = "".join(random.Random(m).choice("abcdefghij") for _ in range(m))
+        s = list(item)
+        for k in (7, 15, 23)[:int(0.1 * m)]:
+            s[k] = "#"
+        assert d.Items([5], [item]).leaks(["ab " + "".join(s) + " cd"])
+
+
+def test_short_items_are_sought_as_whole_words(spark):
+    items = spark.createDataFrame([(1, "the cat", "x"), (2, "a", "x"), (3, "", "x"), (4, prose(3, 9), "x")], ITEM)
+    docs = spark.createDataFrame([doc(1, "See THE\tCAT."), doc(2, "the cats"), doc(3, "bathe cat"), doc(4, "banana"), doc(5, "a b"),
+                                  doc(6, prose(3, 9)), doc(7, None)], DOC_SCHEMA)
+    got = sorted((x["doc_id"], x["item_id"], x["start"], x["end"], x["edits"]) for x in d.leaks(docs, items, shortest=1).collect())
+    assert got == [(1, 1, 4, 11, 0), (5, 2, 0, 1, 0), (6, 4, 0, len(prose(3, 9)), 0)]
+    assert sorted(x["doc_id"] for x in d.clean_documents(docs, items, shortest=1).collect()) == [2, 3, 4, 7]
+    assert sorted(x["doc_id"] for x in d.clean_documents(docs, items).collect()) == [1, 2, 3, 4, 5, 7]
+
+
+def test_steps_of_very_many_short_rows():
+    """More rows than a step's 16 bits for the row."""
+    import pyarrow as pa
+    item = prose(8, 6)
+    texts = ["x"] * 70_000 + [item] + ["y"] * 70_000
+    block, found = d.Items([0], [item]), []
+    for lo, part in d._texts(pa.array(texts)):
+        assert len(part) < 1 << 16
+        found += [lo + r for r, *_ in block.leaks(part)]
+    assert found == [70_000]

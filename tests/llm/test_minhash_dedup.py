@@ -111,3 +111,11 @@ def test_components(spark):
 @pytest.mark.parametrize("text", ["a b", "a b c d e f"])
 def test_word_counts(text):
     assert len(words(text)) == len(text.split())
+
+
+def test_rows_that_share_a_doc_id_are_judged_by_their_own_text(spark):
+    """(2, A) is a copy of (1, A) and goes; (2, B) and a null id stay."""
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    docs = spark.createDataFrame([doc(1, a), doc(2, a), doc(2, b), doc(None, a), doc(3, c), doc(4, c + " x"), doc(4, None)], DOC_SCHEMA)
+    left = sorted((r.doc_id or 0, r.text or "") for r in m.kept_documents(docs).collect())
+    assert left == sorted([(1, a), (2, b), (0, a), (3, c), (4, "")])

@@ -14,14 +14,13 @@ from podlake.llm.subwords import byte_bpe
 def reference():
     import public_tokenizers as P
     from tokenizers import Tokenizer
-    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))  # as it is, added tokens and all
     return lambda s: t.encode(s, add_special_tokens=False).ids
 
 
 ODD = ["", " ", "a", " a", "a ", "a  b", "a\n b", "a \n\n b", "don't I'll we've", "<|endoftext|>", "x y z",
        "é à ü ß 123,456", "日本語 の テキスト", "emoji 🙂🙂 here", "tab\tand\x0bvt\x1cfs", "a" * 5000, "  lead", "trail  ",
-       "Ünï cödé ʻokina ɐ", "नमस्ते दुनिया", "1 2  3   4", "\x00 \x1f"]
+       "Ünï cödé ʻokina ɐ", "नमस्ते दुनिया", "1 2  3   4", "\x00 \x1f", "<|endoftext|> hi", "a <|endoftext|><|endoftext|>  b", "x<|endoftext|>y", "é <|endoftext|> 日本", "<|endoftext|"]
 
 
 def test_ids_are_those_of_the_tokenizer(spark):
