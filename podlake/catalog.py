@@ -359,8 +359,8 @@ def q_kpi_with_evidence(spark, sf):
     side) with, for each, the top PODs of an evidence search restricted to that
     carrier (search side)."""
     t = _t(spark, sf)
-    rates = kpis.exceptions_by_carrier(fx.pod_fact(t, ["carrier_id", "exception_flag"]),
-                                       fx.dim_carriers(t))
+    rates = kpis.exceptions_by_carrier(fx.pod_fact(t, ["carrier_id", "exception_flag", "delivery_date"]),
+                                       fx.dim_carriers(t), scope_date="delivery_date")
     top = (rates.where(F.col("carrier_name").isNotNull())
            .orderBy(F.desc("exception_pct"), F.asc("carrier_name")).limit(WORST_CARRIERS)
            .withColumn("query_id", F.row_number().over(
@@ -372,9 +372,9 @@ def q_kpi_with_evidence(spark, sf):
     allowed = (corpus.select(F.col("pod_id").alias("id"), "carrier_name")
                .join(F.broadcast(worst.select("query_id", "carrier_name")), "carrier_name"))  # WORST_CARRIERS rows
     hits = search.search_batch(corpus, "pod_id", "search_text", queries, k=EVIDENCE_K, stemmed=True, allowed=allowed)
-    return (hits.join(worst.select("query_id", "carrier_name", "exception_pct"), "query_id")
-            .select("carrier_name", "exception_pct", "rank", F.col("id").alias("pod_id"),
-                    "score"))
+    shown = ["carrier_name", "exception_pct", "exceptions", "total_pods", "first_delivery_date", "last_delivery_date"]
+    return (hits.join(worst.select("query_id", *shown), "query_id")
+            .select(*shown, "rank", F.col("id").alias("pod_id"), "score"))
 
 
 # --- review ------------------------------------------------------------------------
@@ -408,6 +408,11 @@ def q_review_queue(spark, sf):
     return kpis.review_queue(_review_log(_t(spark, sf)), "All", 100)
 
 
+def _queue_of(status: str):
+    """FLT2: the newest reviews of one status."""
+    return lambda spark, sf: kpis.review_queue(_review_log(_t(spark, sf)), status, 100)
+
+
 def q_review_prefill(spark, sf):
     ex = doc.extract_fields(_pod_extracted(_t(spark, sf)), "raw_text")
     return review.prefill(ex).select("pod_reference", "status_defaulted", "form_status",
@@ -581,6 +586,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "review_approved_fact": q_review_approved_fact,
     "review_kpis": q_review_kpis,
     "review_queue": q_review_queue,
+    "review_queue_approved": _queue_of("APPROVED"),
+    "review_queue_rejected": _queue_of("REJECTED"),
+    "review_queue_flagged": _queue_of("FLAGGED"),
     "review_prefill": q_review_prefill,
     "review_pods_log": q_review_pods_log,
     "review_pods_fact": q_review_pods_fact,

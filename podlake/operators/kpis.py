@@ -34,17 +34,19 @@ def pod_summary(pod: DataFrame) -> DataFrame:
     )
 
 
-def exceptions_by_carrier(pod: DataFrame, carriers: DataFrame) -> DataFrame:
-    """AG2 (JN1 + group): NULL carrier group kept, sorted by pct desc."""
+def exceptions_by_carrier(pod: DataFrame, carriers: DataFrame, scope_date: str | None = None) -> DataFrame:
+    """AG2 (JN1 + group): NULL carrier group kept, sorted by pct desc. ``scope_date``
+    adds the first and last such date of each group (SM7)."""
     # Eager aggregation: one row per carrier_id reaches the join (see
     # plans.semantic._eager); the result equals join-then-aggregate.
-    pre = pod.groupBy("carrier_id").agg(F.count(F.lit(1)).alias("n"),
-                                        flag_count(F.col("exception_flag")).alias("e"))
+    ends = [("first", F.min), ("last", F.max)] if scope_date else []
+    pre = pod.groupBy("carrier_id").agg(F.count(F.lit(1)).alias("n"), flag_count(F.col("exception_flag")).alias("e"),
+                                        *[fn(scope_date).alias(word) for word, fn in ends])
     j = pre.join(carriers.select("carrier_id", "carrier_name"), "carrier_id", "left")
     n, e = F.sum("n"), F.sum("e")
     return (j.groupBy("carrier_name")
             .agg(n.alias("total_pods"), e.alias("exceptions"),
-                 pct(e, n, 1).alias("exception_pct"))
+                 pct(e, n, 1).alias("exception_pct"), *[fn(word).alias(f"{word}_{scope_date}") for word, fn in ends])
             .orderBy(F.desc_nulls_first("exception_pct"), F.asc_nulls_last("carrier_name")))
 
 

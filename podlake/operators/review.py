@@ -65,12 +65,13 @@ def audit_rows(df: DataFrame, fields: list[str], id_col: str, file_col: str,
                reviewer: str, reviewed_at: datetime | str, notes: str = "",
                faithful: bool = False) -> DataFrame:
     """RV4: POD_REVIEW_LOG rows. One timestamp per batch (the table default of
-    an INSERT); the id adds a file-name hash so ids do not collide (T11)."""
+    an INSERT); the id adds the whole digest of the file name,
+    so that ids of different files differ at any size (T11)."""
     if isinstance(reviewed_at, datetime):
         reviewed_at = reviewed_at.strftime("%Y-%m-%d %H:%M:%S")
     ts = F.lit(reviewed_at).cast("timestamp_ntz")
     rid = F.concat(F.lit("REV-"), F.date_format(ts, "yyyyMMddHHmmss"), F.lit("-"),
-                   F.substring(F.md5(F.col(file_col)), 1, 8))
+                   F.md5(F.col(file_col)))
     return df.select(
         rid.alias("review_id"), F.col(id_col).cast("string").alias("pod_id"),
         F.col(file_col).alias("file_name"), "review_status", F.lit(reviewer).alias("reviewer"),

@@ -24,7 +24,7 @@ def flag_sum(cond: str) -> Metric:
 
 def rate_of(flag: str) -> Metric:
     parts = {"num": f"count_if({flag})", "den": "count(*)"}
-    return Metric(percent(parts["num"], parts["den"]), "double", parts, percent("sum({num})", "sum({den})"))
+    return Metric(percent(parts["num"], parts["den"]), "double", parts, percent("sum({num})", "sum({den})"), flag)
 
 
 # The sample values declared in the reference model, per column.
@@ -55,7 +55,7 @@ def logistics_model() -> Model:
             {"TOTAL_SHIPMENTS": count_of("shipment_id"),
              "TOTAL_FREIGHT_COST": sum_of("freight_cost"),
              "ON_TIME_DELIVERY_RATE": rate_of("is_on_time")},
-            _samples("SHIPMENTS")),
+            _samples("SHIPMENTS"), scope_date="ship_date"),
         "ORDERS": LogicalTable(
             "ORDERS", fx.fact_orders, ["order_id"],
             ["order_id", "customer_id", "order_status", "payment_method", "order_date"],
@@ -73,7 +73,7 @@ def logistics_model() -> Model:
              "EXCEPTION_RATE": rate_of("exception_flag"),
              "MISSING_SIGNATURE_COUNT": flag_sum("NOT signature_present"),
              "DAMAGE_RATE": rate_of("damage_reported")},
-            _samples("POD_DOCUMENTS")),
+            _samples("POD_DOCUMENTS"), scope_date="delivery_date"),
         "CLAIMS": LogicalTable(
             "CLAIMS", fx.fact_claims, ["claim_id"],
             ["claim_id", "shipment_id", "customer_id", "carrier_id", "claim_type", "claim_status",
@@ -81,7 +81,7 @@ def logistics_model() -> Model:
             ["claim_amount", "resolution_amount"],
             {"TOTAL_CLAIMS": count_of("claim_id"),
              "TOTAL_CLAIM_AMOUNT": sum_of("claim_amount")},
-            _samples("CLAIMS")),
+            _samples("CLAIMS"), scope_date="claim_date"),
         "CUSTOMERS": LogicalTable(
             "CUSTOMERS", fx.dim_customers, ["customer_id"],
             ["customer_id", "customer_name", "customer_segment", "city", "state"], [], {},

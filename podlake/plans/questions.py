@@ -31,13 +31,15 @@ def vq_on_time(t) -> DataFrame:
 
 
 def vq_on_time_by_carrier(t) -> DataFrame:
-    return metric_query(M, t, ["ON_TIME_DELIVERY_RATE", "TOTAL_SHIPMENTS"], ["carrier_name"],
+    """VQ2, each rate with its numerator, rows and dates (SM7)."""
+    return metric_query(M, t, ["ON_TIME_DELIVERY_RATE", "TOTAL_SHIPMENTS"], ["carrier_name"], scope=True,
                         order=[F.desc_nulls_first("on_time_delivery_rate"),
                                F.asc_nulls_last("carrier_name")])
 
 
 def vq_exception_by_customer(t) -> DataFrame:
-    return metric_query(M, t, ["EXCEPTION_RATE", "TOTAL_PODS"], ["customer_name"],
+    """VQ3, with the same scope."""
+    return metric_query(M, t, ["EXCEPTION_RATE", "TOTAL_PODS"], ["customer_name"], scope=True,
                         order=[F.desc_nulls_first("exception_rate"),
                                F.asc_nulls_last("customer_name")])
 
@@ -160,7 +162,7 @@ def vq_claims_by_segment(t) -> DataFrame:
 
 def vq_damage_rate_by_carrier_type(t) -> DataFrame:
     """DAMAGE_RATE per carrier type, with the PODs it is a share of."""
-    return metric_query(M, t, ["DAMAGE_RATE", "TOTAL_PODS"], ["carrier_type"])
+    return metric_query(M, t, ["DAMAGE_RATE", "TOTAL_PODS"], ["carrier_type"], scope=True)
 
 
 def vq_shipments_by_grain(t) -> DataFrame:

@@ -12,7 +12,7 @@ join of the small results on the shared dimensions -- no fan-out.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from typing import Callable
 
@@ -30,6 +30,7 @@ class Metric:
     # (name -> expr) and a final aggregate over them ({name} placeholders).
     partials: dict[str, str] | None = None
     final: str | None = None
+    flag: str | None = None  # of a rate: the condition that its numerator counts
 
 
 @dataclass
@@ -42,6 +43,7 @@ class LogicalTable:
     metrics: dict[str, Metric] = field(default_factory=dict)
     sample_values: dict[str, list[str]] = field(default_factory=dict)
     prunable: bool = True              # source accepts a ``columns`` list
+    scope_date: str | None = None      # the date that says what time a rate covers
 
 
 @dataclass
@@ -143,12 +145,12 @@ def _grain(c: Column, grain: str | None) -> Column:
 def metric_query(model: Model, t, metrics: list[str], dims: list[str] = (),
                  where: Column | None = None, where_columns: list[str] = (),
                  order: list[Column] | None = None, limit: int | None = None,
-                 extra_aggs: dict[str, Column] | None = None) -> DataFrame:
+                 extra_aggs: dict[str, Column] | None = None, scope: bool = False) -> DataFrame:
     """SM2: metrics of one fact grouped by dimensions of the fact or its dims.
 
     ``where`` may name fact columns or joined dimension columns; the fact columns
     it names are kept. A filter on fact columns alone is applied to the fact before
-    anything else. ``where_columns`` are further fact columns that ``extra_aggs`` use.
+    anything else. ``scope`` adds what a rate is a rate of (SM7). ``where_columns`` are further fact columns that ``extra_aggs`` use.
     """
     if not metrics:
         raise ModelError("no metrics")
@@ -156,6 +158,9 @@ def metric_query(model: Model, t, metrics: list[str], dims: list[str] = (),
     if any(model.owner_of(m) != base for m in metrics):
         raise ModelError("metrics from several facts: use drill_across")
     bt = model.tables[base]
+    if scope:
+        more = _scope(bt, metrics)
+        bt, metrics = replace(bt, metrics={**bt.metrics, **more}), [*metrics, *more]
     parsed = [_parse_dim(model, base, d) for d in dims]
     # Columns the fact must provide: own dims, join keys, metric inputs, filters.
     need = {c for (tb, c, _, _) in parsed if tb == base}
@@ -199,6 +204,18 @@ def metric_query(model: Model, t, metrics: list[str], dims: list[str] = (),
     return out
 
 
+def _scope(table: LogicalTable, metrics: list[str]) -> dict[str, Metric]:
+    """SM7: per rate its numerator; the rows it covers, and the first and last date
+    among them."""
+    out = {f"{m}_NUMERATOR": Metric(f"count_if({f})", "long", {"n": f"count_if({f})"}, "sum({n})")
+           for m in metrics if (f := table.metrics[m].flag)}
+    out["SCOPE_ROWS"] = Metric("count(*)", "long", {"n": "count(*)"}, "sum({n})")
+    if d := table.scope_date:
+        for word, fn in (("FIRST", "min"), ("LAST", "max")):
+            out[f"{word}_{d.upper()}"] = Metric(f"{fn}({d})", "date", {"d": f"{fn}({d})"}, f"{fn}({{d}})")
+    return out
+
+
 def _dim_table(model: Model, t, r: Relationship, parsed) -> DataFrame:
     dt = model.tables[r.right]
     dcols = {r.right_column} | {c for (tb, c, _, _) in parsed if tb == r.right}
