@@ -53,9 +53,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0])
 
 
+def byte_offsets(column: pa.Array) -> np.ndarray:
+    """Row offsets (rows + 1) of a binary column without nulls."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    return offsets - offsets[0]
+
+
 def steps(column: pa.Array, size: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``size`` bytes of text each, one row at least."""
-    _, offsets = text_bytes(column)
+    """Row ranges of about ``size`` bytes of text (or binary) each, one row at least."""
+    offsets = text_bytes(column)[1] if not pa.types.is_binary(column.type) else byte_offsets(column)
     at, rows = 0, len(column)
     while at < rows:
         to = int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1
