@@ -11,8 +11,7 @@ space next to a space, or one that holds one of the vocabulary's added tokens (s
 from __future__ import annotations
 
 import base64
-
-import numpy as np
+from array import array
 
 CACHE = 300_000
 
@@ -35,7 +34,7 @@ class _Chunks(dict):
 
 
 class Subwords:
-    """Ids as little-endian 32-bit bytes. ``json`` and ``ranks`` are the two files
+    """Ids as 32-bit bytes in the machine's order (little-endian). ``json`` and ``ranks`` are the two files
     of one byte-level vocabulary: texts of Latin letters go through the faster
     library, which gives the same ids; all others through ``tokenizers``."""
 
@@ -48,12 +47,18 @@ class Subwords:
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.after, self.first = _Chunks(self.whole, " "), _Chunks(self.whole, "")
+        self.after, self.first = _Chunks(self.piece, " "), _Chunks(self.piece, "")
+
+    def piece(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
+        if text.isascii() or max(text) < "ɐ":
+            return array("I", self.fast.encode_ordinary(text)).tobytes()
+        return array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
 
     def whole(self, text: str) -> bytes:
-        if (text.isascii() or max(text) < "ɐ") and not self.holds_added(text):
-            return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
-        return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if self.holds_added(text):
+            return array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.piece(text) if text else b""
 
     def holds_added(self, text: str) -> bool:
         return any(t in text for t in self.added)
