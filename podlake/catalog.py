@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import documents as doc
-from .operators import kpis, quality, review, routing, search
+from .operators import kpis, latent, quality, review, routing, search
 from .operators.segments import SegmentIndex
 from .plans import questions as vq
 from .session import apply_runtime_conf, scratch_path, spread
@@ -349,6 +349,17 @@ def q_hybrid_topk(spark, sf):
     return fused.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
 
 
+def q_hybrid_latent(spark, sf):
+    """SE6 in one vector space: benchmark questions against documents, both by BM25 and
+    by the cosine of their latent vectors, whole rankings fused. SQL can't express
+    the decomposition; a test holds it against a plain one."""
+    t = _t(spark, sf)
+    docs = spread(t.documents.select("doc_id", "text"))
+    q = t.benchmark.select(F.col("item_id").alias("query_id"), "text")
+    hits = latent.hybrid_top_k(docs, "doc_id", "text", q, k=DOC_SEARCH_K)
+    return hits.select("query_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
 WORST_CARRIERS = 3
 EVIDENCE_K = 3
 EVIDENCE_TEXT = "exception damage missing signature"
@@ -603,3 +614,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_corpus": q_stream_corpus,
     "stream_postings": q_stream_postings,
 }
+
+
+#: Queries that SQL can't express; tests hold them against plain versions.
+BEYOND_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "hybrid_latent": q_hybrid_latent,
+}
