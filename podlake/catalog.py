@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import documents as doc
-from .operators import kpis, latent, quality, review, routing, search
+from .operators import kpis, latent, quality, review, routing, search, vector_index
 from .operators.segments import SegmentIndex
 from .plans import questions as vq
 from .session import apply_runtime_conf, scratch_path, spread
@@ -311,6 +311,26 @@ def q_vector_topk(spark, sf):
                        "score")
 
 
+NEIGHBOURS = 10
+DEVIATIONS = 2.0    # how far above its centroid's score the approximate search expects a row
+
+
+def _nearest(spark, sf, deviations: float | None) -> DataFrame:
+    """SE5: every embedding whose id 20 divides against all embeddings."""
+    vectors = _t(spark, sf).embeddings
+    index = vector_index.build(spark, vectors, "vec_id", "embedding")
+    hits = vector_index.search(index, vectors.where("vec_id % 20 = 0"), "vec_id", "embedding", NEIGHBOURS, deviations)
+    return hits.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def q_vector_index_topk(spark, sf):
+    return _nearest(spark, sf, None)
+
+
+def q_vector_index_probed(spark, sf):
+    return _nearest(spark, sf, DEVIATIONS)
+
+
 def q_index_health(spark, sf):
     """SE10: the first half of the PODs (even order keys) is indexed while all are
     in the corpus, then the rest is appended: the state before and after."""
@@ -606,6 +626,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_registry": q_page_registry,
     "route_questions": q_route_questions,
     "hybrid_topk": q_hybrid_topk,
+    "vector_index_topk": q_vector_index_topk,
     "kpi_with_evidence": q_kpi_with_evidence,
     "stream_parse": q_stream_parse,
     "stream_pods": q_stream_pods,
@@ -619,4 +640,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Queries that SQL can't express; tests hold them against plain versions.
 BEYOND_SQL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hybrid_latent": q_hybrid_latent,
+    "vector_index_probed": q_vector_index_probed,
 }
