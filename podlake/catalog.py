@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import documents as doc
-from .operators import kpis, latent, quality, review, routing, search, vector_index
+from .operators import kpis, latent, names, quality, review, routing, search, vector_index
 from .operators.segments import SegmentIndex
 from .plans import questions as vq
 from .session import apply_runtime_conf, scratch_path, spread
@@ -331,6 +331,20 @@ def q_vector_index_probed(spark, sf):
     return _nearest(spark, sf, DEVIATIONS)
 
 
+def q_resolve_customers(spark, sf):
+    """DOC7: the customer names that orders carry, three of ten misspelt by a rule on
+    the order key (a code point deleted, replaced or inserted), resolved."""
+    t = _t(spark, sf)
+    h = F.expr("o_orderkey % 1000003 * 2654435761 % 4294967296")
+    rows = (t.orders.join(t.customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+            .select("c_name", (h % 10).alias("kind"), (h / 10).cast("long").alias("h")))
+    at = (F.col("h") % F.char_length("c_name")).cast("int") + 1
+    head, tail = F.substr("c_name", F.lit(1), at - 1), F.substr("c_name", at + 1)
+    written = (F.when(F.col("kind") == 0, F.concat(head, tail)).when(F.col("kind") == 1, F.concat(head, F.lit("x"), tail))
+               .when(F.col("kind") == 2, F.concat(head, F.lit("x"), F.substr("c_name", at))).otherwise(F.col("c_name")))
+    return names.resolve_names(rows.select(written.alias("written")), "written", t.customer, "c_name")
+
+
 def q_index_health(spark, sf):
     """SE10: the first half of the PODs (even order keys) is indexed while all are
     in the corpus, then the rest is appended: the state before and after."""
@@ -627,6 +641,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_questions": q_route_questions,
     "hybrid_topk": q_hybrid_topk,
     "vector_index_topk": q_vector_index_topk,
+    "resolve_customers": q_resolve_customers,
     "kpi_with_evidence": q_kpi_with_evidence,
     "stream_parse": q_stream_parse,
     "stream_pods": q_stream_pods,
