@@ -18,3 +18,16 @@ def test_search_batch_is_dealt_by_pairs(spark, monkeypatch):
     # seven rows, asked three times: a task per pair, and one
     assert ", 22)" in many._jdf.queryExecution().executedPlan().toString()
     assert {(r.query_id, r.id) for r in many.collect()} == {(1, 1), (1, 2), (1, 4), (1, None), (2, 2)}
+
+
+def test_batch_postings_are_counted_in_their_row(spark):
+    """Without repeated ids no word is shuffled; with them the counts are as before."""
+    docs = spark.createDataFrame(ROWS, "id long, text string")
+    once = search.postings_and_lengths(docs.where("id IN (1, 3)"), "id", "text")
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, once.select("term", "id", "dl", "tf").collect()), key=key) == sorted(
+        [("late", 1, 3, 2), ("water", 1, 3, 1), (None, 1, 3, None), (None, 3, 0, None)], key=key)
+    both = search.postings_and_lengths(docs.where("id = 2"), "id", "text")
+    assert sorted(map(tuple, both.select("term", "id", "dl", "tf").collect()), key=key) == sorted(
+        [("water", 2, 2, 2), ("gates", 2, 2, 2), (None, 2, 2, None), (None, 2, 2, None)], key=key)
