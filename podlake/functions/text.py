@@ -64,27 +64,37 @@ def decode_entities(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("&")), F.array_join(decoded, "")).otherwise(c)
 
 
-def html_to_text(c: Column, mode: str = "LAYOUT") -> Column:
-    """LAYOUT keeps block structure as line breaks; OCR returns one flat line."""
+def without_tags(c: Column, mode: str = "LAYOUT") -> Column:
+    """The first half of ``html_to_text``: no comments, scripts, styles and tags."""
     x = F.regexp_replace(c, RE_COMMENT, "")
     x = F.regexp_replace(x, RE_SCRIPT, "")
     x = F.regexp_replace(x, RE_STYLE, "")
     if mode == "LAYOUT":
         x = F.regexp_replace(x, RE_BLOCK, "\n")
         x = F.regexp_replace(x, RE_CELL, " ")
-        x = F.regexp_replace(x, RE_TAG, "")
-        x = decode_entities(x)
+        return F.regexp_replace(x, RE_TAG, "")
+    if mode == "OCR":
+        return F.regexp_replace(x, RE_TAG, " ")
+    raise ValueError(f"unknown mode {mode}")
+
+
+def spaced_text(c: Column, mode: str = "LAYOUT") -> Column:
+    """The second half: references decoded, white space as the mode has it. Reads ``c``
+    several times, so give it a column, not an expression."""
+    x = decode_entities(c)
+    if mode == "LAYOUT":
         x = F.regexp_replace(x, RE_HSPACE, " ")
         x = F.regexp_replace(x, r" *\n[ \n]*", "\n")
-    elif mode == "OCR":
-        x = F.regexp_replace(x, RE_TAG, " ")
-        x = decode_entities(x)
-        x = F.regexp_replace(x, RE_ANYSPACE, " ")
     else:
-        raise ValueError(f"unknown mode {mode}")
+        x = F.regexp_replace(x, RE_ANYSPACE, " ")
     return F.regexp_replace(x, RE_EDGE, "")
 
 
+def html_to_text(c: Column, mode: str = "LAYOUT") -> Column:
+    """LAYOUT keeps block structure as line breaks; OCR returns one flat line."""
+    return spaced_text(without_tags(c, mode), mode)
+
+
 def page_count(c: Column) -> Column:
     """Pages = 1 + form-feed page breaks."""
     return (F.lit(1) + F.length(c) - F.length(F.replace(c, F.lit("\f"), F.lit("")))).cast("int")

@@ -18,8 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import non_empty, pct, try_date, try_int, yes_no_prefix
-from ..functions.text import (extract_label, html_to_text, label_pattern, label_pattern_jvm,
-                              page_count)
+from ..functions.text import (extract_label, label_pattern, label_pattern_jvm, page_count,
+                              spaced_text, without_tags)
 
 MAX_FACT_TEXT = 16000
 CONFIDENCE = Decimal("0.85")
@@ -62,17 +62,19 @@ def default_spec() -> dict[str, str]:
 def parse_documents(df: DataFrame, content: str, mode: str = "LAYOUT") -> DataFrame:
     """DOC1: add ``parsed`` = {content, metadata{pageCount}, errorInformation}.
 
-    Empty or NULL input becomes an error row, never a failed job.
+    Empty or NULL input becomes an error row, never a failed job. The text is made in
+    columns of its own, half by half: an expression that is read in several places would
+    be evaluated in each of them.
     """
-    raw = F.col(content)
-    text = html_to_text(raw, mode)
+    raw, text = F.col(content), F.col("__text")
+    df = df.withColumn("__bare", without_tags(raw, mode)).withColumn("__text", spaced_text(F.col("__bare"), mode))
     empty_in = raw.isNull() | (F.trim(raw) == "")
     err = (F.when(empty_in, F.lit("Empty document"))
            .when(text == "", F.lit("No text content")))
     return df.withColumn("parsed", F.struct(
         F.when(err.isNull(), text).alias("content"),
         F.struct(F.when(err.isNull(), page_count(raw)).alias("pageCount")).alias("metadata"),
-        err.alias("errorInformation")))
+        err.alias("errorInformation"))).drop("__bare", "__text")
 
 
 def flatten_parsed(df: DataFrame, mode: str = "LAYOUT") -> DataFrame:

@@ -316,3 +316,17 @@ def test_small_fixture_keys_unique(spark, t_small):
 
 def test_sf_path_constant():
     assert SF_SMALL.endswith("sf0.001")
+
+
+def _expressions(df, name: str) -> int:
+    return df._jdf.queryExecution().optimizedPlan().toString().count(f"{name}(")
+
+
+@pytest.mark.parametrize("mode, steps", [("LAYOUT", 9), ("OCR", 6)])
+def test_a_page_is_parsed_once(spark, mode, steps):
+    """Every rewriting step of a text stands in the plan once, however many columns read it."""
+    df = spark.createDataFrame([(1, "<p>a &amp; b</p>"), (2, " "), (3, "<br>"), (4, None)], "id int, html string")
+    parsed = doc.flatten_parsed(doc.parse_documents(df, "html", mode), mode)
+    assert _expressions(doc.route_errors(parsed), "regexp_replace") == steps
+    rows = [(r["raw_text"], r["error_info"]) for r in parsed.orderBy("id").collect()]
+    assert rows == [("a & b", None), (None, "Empty document"), (None, "No text content"), (None, "Empty document")]
