@@ -55,16 +55,17 @@ def modified_fields(fields: list[str], ai_prefix: str = "ai_", final_prefix: str
                F.lit(f)) for f in fields])
 
 
-def payload(fields: list[str], prefix: str) -> Column:
-    """JSN3: the field bag as a JSON object text, NULLs kept as null."""
-    return F.to_json(F.struct(*[F.col(prefix + f).alias(f) for f in fields]),
-                     {"ignoreNullFields": "false"})
+def payload(fields: list[str], prefix: str, variant: bool = False) -> Column:
+    """JSN3: the field bag as a JSON object text, NULLs kept as null; or as a VARIANT
+    object at once, without printing and parsing that text."""
+    bag = F.struct(*[F.col(prefix + f).alias(f) for f in fields])
+    return F.to_variant_object(bag) if variant else F.to_json(bag, {"ignoreNullFields": "false"})
 
 
 def audit_rows(df: DataFrame, fields: list[str], id_col: str, file_col: str,
                reviewer: str, reviewed_at: datetime | str, notes: str = "",
-               faithful: bool = False) -> DataFrame:
-    """RV4: POD_REVIEW_LOG rows. One timestamp per batch (the table default of
+               faithful: bool = False, variant: bool = False) -> DataFrame:
+    """RV4: POD_REVIEW_LOG rows, payloads as JSON text or VARIANT. One timestamp per batch (the table default of
     an INSERT); the id adds the whole digest of the file name,
     so that ids of different files differ at any size (T11)."""
     if isinstance(reviewed_at, datetime):
@@ -78,8 +79,8 @@ def audit_rows(df: DataFrame, fields: list[str], id_col: str, file_col: str,
         ts.alias("review_timestamp"), F.lit(CONFIDENCE).cast("double").alias("ai_confidence"),
         modified_fields(fields, faithful=faithful).alias("fields_modified"),
         F.lit(notes).alias("review_notes"),
-        payload(fields, "ai_").alias("raw_ai_output"),
-        payload(fields, "final_").alias("final_output"))
+        payload(fields, "ai_", variant).alias("raw_ai_output"),
+        payload(fields, "final_", variant).alias("final_output"))
 
 
 def approved_to_fact(df: DataFrame, fields: list[str], id_col: str, file_col: str,
@@ -95,8 +96,9 @@ def approved_to_fact(df: DataFrame, fields: list[str], id_col: str, file_col: st
 
 
 def to_variant(df: DataFrame, cols: list[str]) -> DataFrame:
-    """SNK4: JSON payload text -> VARIANT columns for storage."""
-    return df.withColumns({c: F.try_parse_json(F.col(c)) for c in cols})
+    """SNK4: JSON payload text -> VARIANT columns for storage; what is VARIANT stays."""
+    types = dict(df.dtypes)
+    return df.withColumns({c: F.try_parse_json(F.col(c)) for c in cols if types[c] != "variant"})
 
 
 def append_log(log: DataFrame, path: str) -> None:
@@ -107,11 +109,14 @@ def append_log(log: DataFrame, path: str) -> None:
 def pod_decisions(extracted: DataFrame, fields: list[str], reviewer: str) -> DataFrame:
     """RV1 + RV2 for extracted PODs: the form's defaults are the final values, and
     the batch rule approves clean or excepted deliveries with a signature, rejects
-    undeliverable ones and leaves the rest flagged."""
+    undeliverable ones and leaves the rest flagged. ``inline`` makes each row's
+    fields once: without it, Spark moves a later filter on the status below the
+    extraction and evaluates the fields' patterns again for it."""
+    rows = extracted.select("file_name", "raw_text", F.inline(F.array(F.struct(*fields))))
     form = {"delivery_status": "form_status", "signature_present": "form_signature",
             "partial_delivery": "form_partial", "exception_notes": "form_exception_notes",
             "damage_description": "form_damage_description"}
-    p = prefill(extracted).withColumn("reviewer", F.lit(reviewer))
+    p = prefill(rows).withColumn("reviewer", F.lit(reviewer))
     p = p.withColumn("action", F.when(F.col("form_status") == "Undeliverable", "reject")
                      .when((F.col("form_signature") == "Yes") & F.col("form_status").startswith("Delivered"), "approve")
                      .otherwise("flag"))

@@ -330,3 +330,26 @@ def test_a_page_is_parsed_once(spark, mode, steps):
     assert _expressions(doc.route_errors(parsed), "regexp_replace") == steps
     rows = [(r["raw_text"], r["error_info"]) for r in parsed.orderBy("id").collect()]
     assert rows == [("a & b", None), (None, "Empty document"), (None, "No text content"), (None, "Empty document")]
+
+
+def _texts(spark):
+    clean = "PROOF OF DELIVERY\nPOD Reference: P1\nStatus: Delivered - Clean\nSignature: yes\nCarrier: a \"b\" é"
+    return spark.createDataFrame([("f1", clean), ("f2", "POD Reference: P2\nStatus: Refused"), ("f3", None)], "file_name string, raw_text string")
+
+
+def test_review_extracts_each_field_once(spark):
+    """A filter on the decision does not repeat the patterns of the fields."""
+    ex = doc.extract_fields(_texts(spark), "raw_text")
+    facts = review.approved_pods(review.pod_decisions(ex, doc.EXTRACTION_KEYS, "me"), doc.EXTRACTION_KEYS)
+    assert _expressions(facts, "regexp_extract") == len(doc.EXTRACTION_KEYS)
+    assert [(r["pod_id"], r["pod_status"]) for r in facts.collect()] == [("P1", "Delivered - Clean")]
+
+
+def test_variant_payloads_equal_parsed_json(spark):
+    """A payload made as VARIANT holds what its JSON text would, nulls and quotes included."""
+    d = review.pod_decisions(doc.extract_fields(_texts(spark), "raw_text"), doc.EXTRACTION_KEYS, "me")
+    def log(v):
+        rows = review.to_variant(review.audit_rows(d, doc.EXTRACTION_KEYS, "ai_pod_reference", "file_name", "me", "2024-01-01 00:00:00", variant=v),
+                                 ["raw_ai_output", "final_output"])
+        return [tuple(r) for r in rows.withColumns({c: F.to_json(c) for c in ("raw_ai_output", "final_output")}).orderBy("file_name").collect()]
+    assert log(True) == log(False)
