@@ -34,6 +34,8 @@ BUCKETS = 64
 SALTS = 4
 #: Pairs of a query and a document that one task scores.
 PAIRS = 1_000_000
+#: Asked words up to which a batch of questions is looked up in the documents' rows.
+IN_ROW = 20_000
 #: Query vectors that meet a corpus row together.
 VECTOR_BLOCK = 256
 
@@ -203,17 +205,24 @@ def bm25_scores(index: TextIndex, queries: DataFrame, qid: str = "query_id", tex
     # Scalar subqueries: evaluated once inside the same plan, no driver round trip.
     n_col = index.docs.select(F.count(F.lit(1)).cast("double")).scalar()
     avgdl_col = index.docs.select(F.avg("dl")).scalar()
-    idf = F.log(F.lit(1.0) + (n_col - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = (query_terms(queries, qid, text, index.stemmed).join(index.terms, "term")
-                .withColumn("idf", idf).drop("df"))
+                .withColumn("idf", idf_of(n_col)).drop("df"))
     keys = ["term"]
     if "bucket" in index.postings.columns:
         weighted, keys = weighted.withColumn("bucket", bucket()), ["bucket", "term"]
-    hits = weighted.join(index.postings, keys)
+    return summed_scores(weighted.join(index.postings, keys), avgdl_col, allowed, k1, b)
+
+
+def idf_of(n: Column) -> Column:
+    return F.log(F.lit(1.0) + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+
+
+def summed_scores(hits: DataFrame, mean: Column, allowed: DataFrame | None, k1: float = K1, b: float = B) -> DataFrame:
+    """(query_id, id, score) of weighted postings (query_id, id, dl, tf, idf), cut to ``allowed``."""
     if allowed is not None:
         same = ["query_id", "id"] if "query_id" in allowed.columns else ["id"]
         hits = hits.join(allowed.select(*same), same, "left_semi")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl_col)
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / mean)
     part = F.col("idf") * F.col("tf") * (k1 + 1) / (F.col("tf") + norm)
     return hits.groupBy("query_id", "id").agg(F.sum(part).alias("score"))
 
@@ -232,27 +241,56 @@ def search(index: TextIndex, queries: DataFrame, k: int = 5, qid: str = "query_i
     return top_k(bm25_scores(index, queries, qid, text, allowed=allowed), k)
 
 
+def asked_words(docs: DataFrame, id_col: str, text_col: str, asked: DataFrame, stemmed: bool, *more: str) -> DataFrame:
+    """(id, dl, words, *more): each document with those of its words that are ``asked`` (term, distinct), words as
+    (term, tf). Up to ``IN_ROW`` asked words are looked up in the document's row, without a join; with more of them a
+    document's words are rows of their own, each with a single use, beside one without a word."""
+    rows = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("toks"), *more).withColumn("dl", F.size("toks"))
+    if asked.count() <= IN_ROW:
+        terms = [r.term for r in asked.collect()]
+        words = F.transform("toks", lambda w: stem(w)) if stemmed else F.col("toks")
+        return rows.select("id", "dl", counted(F.sort_array(F.filter(words, lambda w: w.isin(terms)))).alias("words"), *more)
+    words = rows.select("id", "dl", F.explode(F.concat("toks", F.array(F.lit("")))).alias("term"), *more)
+    if stemmed:
+        words = words.withColumn("term", stem(F.col("term")))
+    terms = asked.unionByName(asked.sparkSession.range(1).select(F.lit("").alias("term")))
+    one = F.array(F.struct("term", F.lit(1).cast("long").alias("tf")))
+    return words.join(terms, "term").select("id", "dl", F.filter(one, lambda w: w["term"] != "").alias("words"), *more)
+
+
 def search_batch(docs: DataFrame, id_col: str, text_col: str, queries: DataFrame, k: int = 5,
                  qid: str = "query_id", text: str = "text", stemmed: bool = False,
-                 allowed: DataFrame | None = None) -> DataFrame:
+                 allowed: DataFrame | None = None, asks: str | None = None) -> DataFrame:
     """SE3 + SE4 (+SE7) for a one-shot batch of queries, without an index. One pass
-    tokenizes the corpus and writes the words that the queries ask for, with one length row
-    per document (an empty word); no other word is counted or shuffled. For the counts
-    and the scores these rows are dealt by document, so that a task holds about
-    ``PAIRS`` pairs of a query and a document, whatever the corpus."""
+    tokenizes the corpus and writes a row per document with the words that the queries ask for; no word is
+    shuffled by itself. For the scores these rows are dealt by document, so that a task holds about
+    ``PAIRS`` pairs of a query and a document, whatever the corpus, and a document's words meet there.
+    Instead of ``allowed``, ``asks`` may name a column of ``docs``: the array of the queries that a row's id
+    is allowed for, taken in the same pass."""
     from ..sources.io import materialize
     spark = docs.sparkSession
-    asked = query_terms(queries, qid, text, stemmed).select("term")
-    terms = asked.unionByName(spark.range(1).select(F.lit("").alias("term"))).distinct()
-    words = token_table(docs, id_col, text_col).select("id", "dl", F.explode(F.concat("toks", F.array(F.lit("")))).alias("term"))
-    if stemmed:
-        words = words.withColumn("term", stem(F.col("term")))
-    found = materialize(words.join(terms, "term").select(F.nullif(F.col("term"), F.lit("")).alias("term"), "id", "dl"), spark, "postings")
-    pairs = found.where("term IS NULL").count() * queries.select(qid).distinct().count()
-    tasks = max(spark.sparkContext.defaultParallelism, 1 + pairs // PAIRS)
-    postings, lengths = split_postings(found.repartition(tasks, "id").groupBy("term", "id", "dl").agg(F.count(F.lit(1)).alias("tf")))
-    index = TextIndex(postings, document_frequencies(postings), lengths, stemmed)
-    return search(index, queries, k, qid, text, allowed)
+    wanted = materialize(query_terms(queries, qid, text, stemmed), spark, "asked")
+    more = [asks] if asks else []
+    found = materialize(asked_words(docs, id_col, text_col, wanted.select("term").distinct(), stemmed, *more), spark, "postings")
+    rows = found.count()
+    once = rows == found.select(F.xxhash64("id")).distinct().count()
+    pairs = rows * queries.select(qid).distinct().count()
+    dealt = found.repartition(max(spark.sparkContext.defaultParallelism, 1 + pairs // PAIRS), "id")
+    each = lambda d: d.select("id", "dl", *more, F.inline("words"))
+    if once:
+        postings, terms, lengths = each(dealt), document_frequencies(each(found)), found.select("id", "dl")
+    else:  # what rows of one id and length hold is added up; an id is allowed what any of its rows is
+        postings = each(dealt).groupBy("term", "id", "dl").agg(F.sum("tf").alias("tf"))
+        terms, lengths = document_frequencies(postings), found.select("id", "dl").distinct()
+        if asks:
+            allowed = found.select("id", F.explode(asks).alias("query_id"))
+    # written, so that their size is known: a few weights go to the postings, not these to them
+    n, mean = lengths.agg(F.count(F.lit(1)).cast("double"), F.avg("dl")).first()
+    weights = materialize(wanted.join(terms, "term").select("query_id", "term", idf_of(F.lit(n)).alias("idf")), spark, "asked-weights")
+    hits = postings.join(weights, "term")
+    if asks and once:
+        hits = hits.where(F.array_contains(asks, F.col("query_id")))
+    return top_k(summed_scores(hits, F.lit(mean), allowed), k)
 
 
 # --- SE5 / SE6 --------------------------------------------------------------------
