@@ -94,3 +94,20 @@ def test_filter_on_a_fact_column_needs_no_listing(spark, t_small):
     q = metric_query(logistics_model(), t_small, ["TOTAL_SHIPMENTS"], ["carrier_name"], where=F.col("status") == "Returned")
     want = fx.fact_shipments(t_small, ["status"]).where("status = 'Returned'").count()
     assert sum(r.total_shipments for r in q.collect()) == want > 0
+
+
+def test_scratch_writes_leave_no_shuffles(spark):
+    """A table for the next step is packed by zstd and its write's shuffle files are gone; settings are as before."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from podlake import session
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffles = lambda: {s for d in dirs for s in glob.glob(f"{d}/*/shuffle_*.data")}
+    before, held = shuffles(), [spark.conf.get(k, None) for k in session.SCRATCH_CONF]
+    made = io.materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(5, "k"), spark, "scratch-test")
+    assert not shuffles() - before
+    assert made.count() == 7
+    assert all(f.endswith(".zstd.parquet") for f in made.inputFiles())
+    assert [spark.conf.get(k, None) for k in session.SCRATCH_CONF] == held
